@@ -162,7 +162,7 @@ def stream_window_sql(spark, folder):
     }
     result = None
     for name, key in keys.items():
-        report = spark.read.parquet(f"{out}/{name}")
+        report = jobs.read_report(spark, out, name)
         total = F.lit(0).cast("bigint") if name == "content" else F.col("total")
         rows = report.select(F.lit(name).alias("report"), "start", "end", key.alias("key"), total.alias("total"))
         result = rows if result is None else result.unionByName(rows)

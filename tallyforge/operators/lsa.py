@@ -103,7 +103,8 @@ def rows_normalize(matrix: DataFrame, column: str = "vec") -> DataFrame:
 
 def score_against(matrix: DataFrame, vector: Column, key: str, n: int = TOP) -> DataFrame:
     """The n rows with the largest dot product with one vector; rows without a score are left out."""
-    scored = matrix.select(key, dot(F.col("vec"), vector).alias("score")).where(F.col("score").isNotNull())
+    paired = matrix.select(key, "vec", vector.alias("_vector"))
+    scored = paired.select(key, dot("vec", "_vector").alias("score")).where(F.col("score").isNotNull())
     return scored.orderBy(F.desc("score"), key).limit(n)
 
 

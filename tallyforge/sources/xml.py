@@ -37,8 +37,9 @@ def scan_xml_records(spark: SparkSession, path: str, tag: str) -> DataFrame:
 
 
 def scan_xml_columns(spark: SparkSession, path: str, tag: str, schema: T.StructType) -> DataFrame:
-    """Records as typed columns."""
-    return spark.read.format("xml").option("rowTag", tag).schema(schema).load(path)
+    """Records as typed columns. Built on the raw records, so files need no root element and stay splittable."""
+    record = F.from_xml("xml", schema)
+    return scan_xml_records(spark, path, tag).select(record.alias("record")).select("record.*")
 
 
 def major_topics(xml: Column | str) -> Column:

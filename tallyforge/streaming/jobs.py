@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -154,6 +154,21 @@ def stream_window_sql(
     return run(window_measures(logs, ts, delay), write, checkpoint, **run_options)
 
 
+# A report may be empty so far, so its columns are named here.
+_REPORT_COLUMNS = {
+    "content": "avg_size BIGINT, min_size BIGINT, max_size BIGINT",
+    "status": "response_code INT, total BIGINT",
+    "ips": "ip_address STRING, total BIGINT",
+    "endpoints": "endpoint STRING, total BIGINT",
+}
+
+
+def read_report(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """One report of all closed windows so far."""
+    schema = f"start TIMESTAMP, end TIMESTAMP, {_REPORT_COLUMNS[name]}, batch_id BIGINT"
+    return spark.read.schema(schema).parquet(f"{path}/{name}").drop("batch_id")
+
+
 def stream_ad_cube(
     lines: DataFrame, path: str, checkpoint: str, column: str = "line", batch_time: Column | None = None, **run_options
 ) -> StreamingQuery:
