@@ -142,8 +142,8 @@ content AS (SELECT start, "end", sum(content_size) // count(*) AS a, min(content
             FROM closed GROUP BY ALL),
 status AS (SELECT start, "end", response_code AS k, count(*) AS total FROM closed GROUP BY ALL),
 ips AS (SELECT start, "end", ip_address AS k, count(*) AS total FROM closed GROUP BY ALL HAVING count(*) > 10),
-points AS (SELECT start, "end", endpoint AS k, count(*) AS total FROM closed GROUP BY ALL
-           QUALIFY row_number() OVER (PARTITION BY start, "end" ORDER BY count(*) DESC, endpoint) <= 10),
+hits AS (SELECT start, "end", endpoint AS k, count(*) AS total FROM closed GROUP BY ALL),
+points AS (SELECT * FROM hits QUALIFY row_number() OVER (PARTITION BY start, "end" ORDER BY total DESC, k) <= 10),
 reports AS (
   SELECT 'content' AS report, start, "end", concat_ws('/', a, b, c) AS "key", 0 AS total FROM content
   UNION ALL SELECT 'status', start, "end", k::VARCHAR, total FROM status
