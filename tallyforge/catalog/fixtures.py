@@ -114,9 +114,8 @@ def written_text(spark: SparkSession, lines: DataFrame, tag: str) -> str:
 
 
 def document_terms(spark: SparkSession, folder: str) -> DataFrame:
-    """Documents as term arrays, each with more than one term."""
-    docs = table(spark, folder, "documents").select("doc_id", term_list("text").alias("terms"))
-    return docs.where(F.size("terms") > 1)
+    """Documents as term arrays."""
+    return table(spark, folder, "documents").select("doc_id", term_list("text").alias("terms"))
 
 
 def vectors(spark: SparkSession, folder: str, column: str = "features") -> DataFrame:

@@ -52,8 +52,7 @@ def part_topics(spark, folder):
 
 
 def part_graph(spark, folder):
-    topics = part_topics(spark, folder)
-    return graph.build_topic_graph(topics, graph.cooccurrence(topics))
+    return graph.build_topic_graph(part_topics(spark, folder))
 
 
 def weighted(spark, folder):
@@ -90,7 +89,8 @@ def freq_of_freq(spark, folder):
 WITH {_GRAPH} SELECT 'edge' AS kind, src, dst, attr, NULL AS topic FROM edges
 UNION ALL SELECT 'vertex', id, NULL, NULL, topic FROM vertices""")
 def build_topic_graph(spark, folder):
-    vertices, edges = part_graph(spark, folder)
+    topics = part_topics(spark, folder)
+    vertices, edges = graph.build_topic_graph(topics, graph.cooccurrence(topics))
     v = vertices.selectExpr("'vertex' AS kind", "id AS src", "CAST(NULL AS BIGINT) AS dst", "CAST(NULL AS BIGINT) AS attr", "topic")
     return edges.selectExpr("'edge' AS kind", "src", "dst", "attr", "CAST(NULL AS STRING) AS topic").unionByName(v)
 

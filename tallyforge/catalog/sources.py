@@ -183,7 +183,7 @@ def terms_sql() -> str:
 def sink_tsv(spark, folder):
     path = new_folder(spark, "sink-tsv")
     docs = table(spark, folder, "documents").select("doc_id", term_list("text").alias("terms"))
-    sinks.sink_tsv(doc_freq(term_freq(docs)), path)
+    sinks.sink_tsv(doc_freq(term_freq(docs, more_than=0)), path)
     return text.scan_text(spark, path)
 
 

@@ -10,6 +10,7 @@ from tallyforge.catalog.sources import _WORDS, document_lines, terms_sql
 from tallyforge.functions.terms import only_letters, term_list, term_rows, words
 from tallyforge.functions.vectors import array_literal
 from tallyforge.operators import counting, lsa, tfidf
+from tallyforge.plans.durable import materialize
 
 
 @query("tokenize_space", r"""
@@ -63,7 +64,7 @@ SIZE = 2000
 
 @query("term_freq", f"{_DOCS} SELECT doc_id, doc_terms::INT AS doc_terms, term, tf FROM tf")
 def term_freq(spark, folder):
-    return tfidf.term_freq(fx.document_terms(spark, folder))
+    return tfidf.term_freq(fx.document_terms(spark, folder)).drop("opens")
 
 
 @query("doc_freq", f"{_DOCS} SELECT term, df FROM df")
@@ -73,7 +74,8 @@ def doc_freq(spark, folder):
 
 @query("idf", _VOCAB.replace("SIZE", str(SIZE)) + " SELECT term, df, idx, round(idf, 6) AS idf FROM vocab")
 def idf(spark, folder):
-    return tfidf.vocabulary_of(fx.document_terms(spark, folder), SIZE).withColumn("idf", rounded("idf"))
+    tf = tfidf.term_freq(fx.document_terms(spark, folder))
+    return tfidf.vocabulary_of(tf, SIZE).withColumn("idf", rounded("idf"))
 
 
 _MATRIX = _VOCAB + ", m AS (SELECT doc_id, term, idx, idf * tf / doc_terms AS weight FROM tf JOIN vocab USING (term))"
@@ -195,7 +197,7 @@ QUERY_TERMS = ("the", "and", "ion", "que", "der", "und", "leth")
 @query("lsa_query_vector", _VOCAB.replace("SIZE", str(SIZE)) + f"""
 SELECT idx, term, round(idf, 6) AS value FROM vocab WHERE term IN {QUERY_TERMS}""")
 def lsa_query_vector(spark, folder):
-    vocab = tfidf.vocabulary_of(fx.document_terms(spark, folder), SIZE)
+    vocab = tfidf.vocabulary_of(tfidf.term_freq(fx.document_terms(spark, folder)), SIZE)
     return lsa.lsa_query_vector(vocab, QUERY_TERMS).withColumn("value", rounded("value"))
 
 
@@ -210,10 +212,9 @@ def topk_per_group(spark, folder):
 
 
 def decomposition(spark, folder, k=10):
-    docs = fx.document_terms(spark, folder)
-    vocab = tfidf.vocabulary_of(docs, SIZE)
-    size = vocab.count()
-    return lsa.lsa_svd(tfidf.tfidf_matrix(docs, SIZE, vocab=vocab), size, k), vocab
+    tf = materialize(tfidf.term_freq(fx.document_terms(spark, folder)))
+    vocab = materialize(tfidf.vocabulary_of(tf, SIZE))
+    return lsa.lsa_svd(tfidf.weigh(tf, vocab, SIZE), vocab.count(), k), vocab
 
 
 @query("lsa_svd")

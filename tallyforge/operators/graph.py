@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyforge.functions.scalars import chi_square, hash_id
@@ -10,6 +10,7 @@ from tallyforge.operators.counting import topk_by_count
 from tallyforge.operators.profiling import summary_stats
 from tallyforge.operators.sampling import sample_rows
 from tallyforge.plans.durable import RoundTables, materialize
+from tallyforge.plans.ordered import dense_positions
 
 # The significance bound, the length of name lists, and the share and seed of path sources.
 SIGNIFICANT, TOP, PATH_SHARE, PATH_SEED = 19.5, 10, 0.02, 1729
@@ -17,6 +18,9 @@ SIGNIFICANT, TOP, PATH_SHARE, PATH_SEED = 19.5, 10, 0.02, 1729
 # Topics of one document are cut into blocks of about this many before they are paired.
 _BLOCK = 500
 
+# Sources of a search per word of bits.
+_WORD = 64
+
 
 def cooccurrence(doc_topics: DataFrame, doc: str = "doc", topic: str = "topic", block: int = _BLOCK) -> DataFrame:
     """Number of documents per unordered pair of topics; a topic repeated in a document pairs once with itself.
@@ -44,20 +48,49 @@ def cooccurrence(doc_topics: DataFrame, doc: str = "doc", topic: str = "topic",
     return pairs.unionByName(doubled).groupBy("topic_a", "topic_b").agg(F.count(F.lit(1)).alias("cnt"))
 
 
+def vertex_id(topic: Column | str) -> Column:
+    """The hash id of a topic, declared never NULL.
+
+    Otherwise a join on ids would make the optimizer hash every single pair further down, to filter NULL ids out.
+    """
+    return F.coalesce(hash_id(topic), F.lit(0).cast("bigint"))
+
+
 def topic_counts(doc_topics: DataFrame, topic: str = "topic") -> DataFrame:
     """Occurrences of each topic, by vertex id."""
     counts = doc_topics.groupBy(F.col(topic).alias("topic")).agg(F.count(F.lit(1)).alias("attr"))
-    return counts.select(hash_id("topic").alias("id"), "topic", "attr")
+    return counts.select(vertex_id("topic").alias("id"), "topic", "attr")
+
+
+def topic_vertices(doc_topics: DataFrame, topic: str = "topic") -> DataFrame:
+    return doc_topics.select(F.col(topic).alias("topic")).distinct().select(vertex_id("topic").alias("id"), "topic")
+
+
+def topic_edges(doc_topics: DataFrame, doc: str = "doc", topic: str = "topic", drop_self_loops: bool = False) -> DataFrame:
+    """Co-occurrence edges (src, dst, attr) straight from documents.
+
+    Topics are hashed once per occurrence and paired as ids, so the shuffle of pairs carries two numbers, not two texts.
+    """
+    ids = doc_topics.select(F.col(doc).alias("doc"), vertex_id(topic).alias("topic"))
+    pairs = cooccurrence(ids)
+    edges = pairs.select(F.col("topic_a").alias("src"), F.col("topic_b").alias("dst"), F.col("cnt").alias("attr"))
+    return edges.where(F.col("src") != F.col("dst")) if drop_self_loops else edges
 
 
 def build_topic_graph(
-    doc_topics: DataFrame, pairs: DataFrame, topic: str = "topic", drop_self_loops: bool = False
+    doc_topics: DataFrame, pairs: DataFrame | None = None, topic: str = "topic", drop_self_loops: bool = False
 ) -> tuple[DataFrame, DataFrame]:
-    """Vertices (id, topic) and edges (src, dst, attr), the smaller id first, attr the co-occurrence count."""
-    vertices = doc_topics.select(F.col(topic).alias("topic")).distinct().select(hash_id("topic").alias("id"), "topic")
-    a, b = hash_id("topic_a"), hash_id("topic_b")
-    edges = pairs.select(F.least(a, b).alias("src"), F.greatest(a, b).alias("dst"), F.col("cnt").alias("attr"))
-    return vertices, edges.where(F.col("src") != F.col("dst")) if drop_self_loops else edges
+    """Vertices (id, topic) and edges (src, dst, attr), the smaller id first, attr the co-occurrence count.
+
+    ``pairs`` are named pairs that were counted before; without them the edges come straight from the documents.
+    """
+    if pairs is None:
+        edges = topic_edges(doc_topics, topic=topic)
+    else:
+        a, b = vertex_id("topic_a"), vertex_id("topic_b")
+        edges = pairs.select(F.least(a, b).alias("src"), F.greatest(a, b).alias("dst"), F.col("cnt").alias("attr"))
+    edges = edges.where(F.col("src") != F.col("dst")) if drop_self_loops else edges
+    return topic_vertices(doc_topics, topic), edges
 
 
 def degrees(edges: DataFrame) -> DataFrame:
@@ -203,32 +236,49 @@ def avg_clustering_coef(vertices: DataFrame, edges: DataFrame) -> DataFrame:
 def bfs_distances(sources: DataFrame, edges: DataFrame) -> DataFrame:
     """(source, id, dist) for everything reachable from each source over undirected edges, the source itself included.
 
-    One join per hop from the newest frontier only; a pair is kept the first time it is met, which is its distance. As
-    edges go both ways, a step can only lead back to the last two frontiers, so nothing older is looked at.
+    Sources are numbered and searched 64 at a time: a frontier row is a vertex with a word of bits, one per source, so a
+    hop joins and shuffles up to 64 searches as one row and merges them with a bitwise OR before the shuffle. As edges go
+    both ways, a step can only lead back to the last two frontiers, so nothing older is looked at.
     """
-    spark = edges.sparkSession
     simple = _simple_edges(edges)
-    both = materialize(
+    links = materialize(
         simple.select(F.col("a").alias("id"), F.col("b").alias("next")).unionByName(
             simple.select(F.col("b").alias("id"), F.col("a").alias("next"))
         ),
         "links",
     )
+    numbered = materialize(_numbered(sources), "sources")
+    bit = F.expr(f"shiftleft(1L, cast(pmod(number, {_WORD}) AS INT))")
     frontier = materialize(
-        sources.select(F.col("id").alias("source"), "id", F.lit(0).alias("dist")).distinct(), "frontier"
+        numbered.select(_word("number").alias("word"), "id", bit.alias("bits"), F.lit(0).alias("dist")), "frontier"
     )
     # Every frontier stays: together they are the result.
     reached, before, hop = frontier, None, 0
     while not frontier.isEmpty():
         hop += 1
-        known = frontier.select("source", "id")
-        if before is not None:
-            known = known.unionByName(before.select("source", "id"))
-        step = frontier.join(both, "id").select("source", F.col("next").alias("id")).distinct()
-        fresh = step.join(known, ["source", "id"], "left_anti")
+        step = frontier.join(links, "id").groupBy("word", F.col("next").alias("id")).agg(F.bit_or("bits").alias("bits"))
+        known = frontier if before is None else frontier.unionByName(before)
+        known = known.groupBy("word", "id").agg(F.bit_or("bits").alias("known"))
+        fresh = step.join(known, ["word", "id"], "left").select(
+            "word", "id", F.col("bits").bitwiseAND(F.bitwise_not(F.coalesce("known", F.lit(0).cast("bigint")))).alias("bits")
+        ).where(F.col("bits") != 0)
         before, frontier = frontier, materialize(fresh.withColumn("dist", F.lit(hop)), "frontier")
         reached = reached.unionByName(frontier)
-    return reached
+    ones = F.filter(F.sequence(F.lit(0), F.lit(_WORD - 1)), lambda i: F.getbit("bits", i) == 1)
+    found = reached.select("word", "id", "dist", F.explode(ones).alias("at"))
+    found = found.select((F.col("word") * _WORD + F.col("at")).alias("number"), "id", "dist")
+    return found.join(numbered.select("number", F.col("id").alias("source")), "number").select("source", "id", "dist")
+
+
+def _numbered(sources: DataFrame) -> DataFrame:
+    """Distinct sources, numbered from 0 in the order of partitions."""
+    rows = sources.select("id").distinct()
+    placed = materialize(rows.select("id", F.monotonically_increasing_id().alias("place")), "source-places")
+    return placed.join(dense_positions(placed, "place", "number"), "place").select("id", "number")
+
+
+def _word(number: str) -> Column:
+    return F.floor(F.col(number) / _WORD).cast("bigint")
 
 
 def bfs_multi_source(
@@ -237,13 +287,15 @@ def bfs_multi_source(
 ) -> DataFrame:
     """Distinct (low, high, dist): hop distance between each sampled vertex and all it reaches."""
     sources = sample_rows(vertices.select("id"), fraction, seed) if sources is None else sources.select("id")
-    return path_pairs(bfs_distances(materialize(sources, "sources"), edges))
+    sources = materialize(sources.distinct(), "sources")
+    return path_pairs(bfs_distances(sources, edges), sources)
 
 
-def path_pairs(distances: DataFrame) -> DataFrame:
-    return distances.select(
-        F.least("source", "id").alias("low"), F.greatest("source", "id").alias("high"), "dist"
-    ).distinct()
+def path_pairs(distances: DataFrame, sources: DataFrame) -> DataFrame:
+    """Each pair once. A pair comes twice only if both ends are sources, so of those the larger source is left out."""
+    marks = sources.select("id", F.lit(True).alias("_source"))
+    once = distances.join(marks, "id", "left").where(F.col("_source").isNull() | (F.col("source") <= F.col("id")))
+    return once.select(F.least("source", "id").alias("low"), F.greatest("source", "id").alias("high"), "dist")
 
 
 def path_length_stats(pairs: DataFrame) -> DataFrame:

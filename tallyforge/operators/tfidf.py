@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyforge.functions.scalars import idf as idf_of
+from tallyforge.plans.durable import materialize
 
 # Default vocabulary size and the least number of terms of a document.
 VOCABULARY = 50_000
@@ -20,13 +21,26 @@ def min_terms_filter(docs: DataFrame, terms: str = "terms", more_than: int = MIN
     return docs.where(F.size(terms) > more_than)
 
 
-def term_freq(docs: DataFrame, doc: str = "doc_id", terms: str = "terms") -> DataFrame:
-    """Count of each term within a document, with the document's number of terms carried along.
+def term_freq(
+    docs: DataFrame, doc: str = "doc_id", terms: str = "terms", more_than: int = MIN_TERMS
+) -> DataFrame:
+    """Count ``tf`` of each term within a document, for documents with more than one term.
 
-    The total is the length of the term array, so it needs no second aggregation and no join.
+    ``doc_terms`` is the number of terms of the document: the length of its array, carried along, so it needs no second
+    aggregation and no join. ``opens`` is 1 in one row per document (that of its first term), so its sum counts the
+    documents. The least number of terms is checked on the result: a filter on the array would build it twice.
     """
-    rows = docs.select(doc, F.size(terms).alias("doc_terms"), F.explode(terms).alias("term"))
-    return rows.groupBy(doc, "doc_terms", "term").agg(F.count(F.lit(1)).alias("tf"))
+    rows = docs.select(doc, F.size(terms).alias("doc_terms"), F.posexplode(terms).alias("pos", "term"))
+    counts = rows.groupBy(doc, "term").agg(
+        F.count(F.lit(1)).alias("tf"), F.max("doc_terms").alias("doc_terms"),
+        F.max((F.col("pos") == 0).cast("int")).alias("opens"),
+    )
+    return counts.where(F.col("doc_terms") > more_than)
+
+
+def doc_count(tf: DataFrame):
+    """Number of documents, as a scalar column."""
+    return tf.agg(F.sum("opens")).scalar()
 
 
 def doc_freq(tf: DataFrame) -> DataFrame:
@@ -47,20 +61,25 @@ def idf(df: DataFrame, n_docs, n: int = VOCABULARY) -> DataFrame:
     return vocabulary(df, n).withColumn("idf", idf_of(F.lit(n_docs) if isinstance(n_docs, int) else n_docs, "df"))
 
 
-def vocabulary_of(docs: DataFrame, n: int = VOCABULARY, doc: str = "doc_id", terms: str = "terms") -> DataFrame:
-    n_docs = docs.agg(F.count(F.lit(1))).scalar()
-    return idf(doc_freq(term_freq(docs, doc, terms)), n_docs, n)
+def vocabulary_of(tf: DataFrame, n: int = VOCABULARY) -> DataFrame:
+    """The vocabulary with its idf, from term frequencies."""
+    return idf(doc_freq(tf), doc_count(tf), n)
 
 
-def tfidf_matrix(
-    docs: DataFrame, n: int = VOCABULARY, doc: str = "doc_id", terms: str = "terms", vocab: DataFrame | None = None
-) -> DataFrame:
-    """Rows (document, term, idx, weight), weight = idf * tf / terms of the document, for the n commonest terms.
-
-    ``docs`` has one row per document. Terms outside the vocabulary count towards the document's total.
-    """
-    vocab = vocabulary_of(docs, n, doc, terms) if vocab is None else vocab
+def weigh(tf: DataFrame, vocab: DataFrame, n: int = VOCABULARY, doc: str = "doc_id") -> DataFrame:
+    """Rows (document, term, idx, weight), weight = idf * tf / terms of the document, for terms of the vocabulary."""
     small = vocab.select("term", "idx", "idf")
     small = F.broadcast(small) if n <= BROADCAST_TERMS else small
-    weighted = term_freq(docs, doc, terms).join(small, "term")
-    return weighted.select(doc, "term", "idx", (F.col("idf") * F.col("tf") / F.col("doc_terms")).alias("weight"))
+    return tf.join(small, "term").select(
+        doc, "term", "idx", (F.col("idf") * F.col("tf") / F.col("doc_terms")).alias("weight")
+    )
+
+
+def tfidf_matrix(docs: DataFrame, n: int = VOCABULARY, doc: str = "doc_id", terms: str = "terms") -> DataFrame:
+    """The weighted document-term matrix over the n commonest terms, in long form.
+
+    ``docs`` has one row per document. Terms outside the vocabulary count towards the document's total. The frequencies
+    are needed for the vocabulary, the document count and the weights, so they are written once and texts are split once.
+    """
+    tf = materialize(term_freq(docs, doc, terms), "term-frequencies")
+    return weigh(tf, vocabulary_of(tf, n), n, doc)
