@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tallyforge.catalog.registry import sql, table
 from tallyforge.functions.terms import term_list
 from tallyforge.plans.durable import new_folder
+from tallyforge.plans.layout import spread
 
 AD_LINES = """
 SELECT event_id, ts,
@@ -115,7 +116,18 @@ def written_text(spark: SparkSession, lines: DataFrame, tag: str) -> str:
 
 def document_terms(spark: SparkSession, folder: str) -> DataFrame:
     """Documents as term arrays."""
-    return table(spark, folder, "documents").select("doc_id", term_list("text").alias("terms"))
+    return documents(spark, folder).select("doc_id", term_list("text").alias("terms"))
+
+
+def documents(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids and texts, on all cores."""
+    return spread(table(spark, folder, "documents").select("doc_id", "text"), "doc_id")
+
+
+def log_lines(spark: SparkSession, folder: str, text: str) -> DataFrame:
+    """Log lines (advertising or access), on all cores."""
+    spread(table(spark, folder, "events"), "event_id").createOrReplaceTempView("spread_events")
+    return spark.sql(text.replace("FROM events", "FROM spread_events"))
 
 
 def vectors(spark: SparkSession, folder: str, column: str = "features") -> DataFrame:

@@ -323,14 +323,14 @@ def kmeans_anomalies(spark, folder):
 
 def messages(spark, folder):
     labels = table(spark, folder, "labels").select("doc_id", F.col("toxic").cast("double").alias("label"))
-    return table(spark, folder, "documents").select("doc_id", "text").join(labels, "doc_id")
+    return fx.documents(spark, folder).join(labels, "doc_id")
 
 
 @query("hashing_tf", """
 SELECT doc_id, CASE WHEN length(text) > 0 AND rtrim(text, ' ') = '' THEN 0.0
                     ELSE len(string_split(rtrim(text, ' '), ' ')) END::DOUBLE AS words FROM documents""")
 def hashing_tf(spark, folder):
-    hashed = mail.hashing_tf(table(spark, folder, "documents").select("doc_id", "text"))
+    hashed = mail.hashing_tf(fx.documents(spark, folder))
     words = F.aggregate(vector_to_array("features"), F.lit(0.0), lambda a, x: a + x)
     return hashed.select("doc_id", words.alias("words"))
 

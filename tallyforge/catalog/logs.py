@@ -18,7 +18,7 @@ SELECT event_id, {_BUCKET.format("(j->>'$.payload.time')")} AS time, {_FLAT} FRO
 
 
 def ad_lines(spark, folder):
-    return fx.fixture(spark, folder, fx.AD_LINES)
+    return fx.log_lines(spark, folder, fx.AD_LINES)
 
 
 @query("parse_json_safe", f"""
@@ -92,7 +92,7 @@ FROM ({fx.ACCESS_LINES}))"""
 
 
 def access_logs(spark, folder, keep=()):
-    return weblogs.parse_access_log(fx.fixture(spark, folder, fx.ACCESS_LINES), keep=keep)
+    return weblogs.parse_access_log(fx.log_lines(spark, folder, fx.ACCESS_LINES), keep=keep)
 
 
 @query("parse_access_log", f"WITH {_LOGS} SELECT * EXCLUDE (ts) FROM logs")

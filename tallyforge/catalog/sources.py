@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from tallyforge.catalog import fixtures as fx
 from tallyforge.catalog.registry import query, rounded, sql, table
 from tallyforge.functions.scalars import composite_key, is_header
-from tallyforge.functions.terms import term_list
 from tallyforge.operators.counting import word_count
 from tallyforge.operators.sampling import label_split, sample_by_hash
 from tallyforge.operators.tfidf import doc_freq, term_freq
@@ -156,7 +155,7 @@ WITH lines AS (SELECT unnest(regexp_split_to_array(text, '\r\n|\r|\n')) AS value
 
 def document_lines(spark, folder):
     lines = F.explode(F.split("text", r"\r\n|\r|\n", -1)).alias("value")
-    return table(spark, folder, "documents").select("doc_id", lines)
+    return fx.documents(spark, folder).select("doc_id", lines)
 
 
 @query("sink_text", f"{_WORDS} SELECT concat(word, ',', count(*)) AS value FROM words GROUP BY word")
@@ -182,7 +181,7 @@ def terms_sql() -> str:
 @query("sink_tsv", f"""WITH {terms_sql()} SELECT concat(term, chr(9), count(DISTINCT doc_id)) AS value FROM terms GROUP BY term""")
 def sink_tsv(spark, folder):
     path = new_folder(spark, "sink-tsv")
-    docs = table(spark, folder, "documents").select("doc_id", term_list("text").alias("terms"))
+    docs = fx.document_terms(spark, folder)
     sinks.sink_tsv(doc_freq(term_freq(docs, more_than=0)), path)
     return text.scan_text(spark, path)
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tallyforge.catalog import fixtures as fx
 from tallyforge.catalog.registry import query, rounded, table
 from tallyforge.catalog.sources import _WORDS, document_lines, terms_sql
-from tallyforge.functions.terms import only_letters, term_list, term_rows, words
+from tallyforge.functions.terms import only_letters, term_rows, words
 from tallyforge.functions.vectors import array_literal
 from tallyforge.operators import counting, lsa, tfidf
 from tallyforge.plans.durable import materialize
@@ -34,7 +34,7 @@ _TERMS = f"WITH {terms_sql()}"
 
 @query("normalize_terms", f"{_TERMS} SELECT doc_id, term, count(*) AS cnt FROM terms GROUP BY ALL")
 def normalize_terms(spark, folder):
-    rows = term_rows(table(spark, folder, "documents"), "text", ("doc_id",))
+    rows = term_rows(fx.documents(spark, folder), "text", ("doc_id",))
     return rows.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("cnt"))
 
 
@@ -43,13 +43,13 @@ SELECT doc_id, regexp_full_match(word, '\p{L}*') AS letters, count(*) AS cnt
 FROM (SELECT doc_id, unnest(regexp_split_to_array(text, '[^\p{L}\p{N}'']+')) AS word FROM documents)
 WHERE word <> '' GROUP BY ALL""")
 def only_letters_query(spark, folder):
-    rows = table(spark, folder, "documents").select("doc_id", F.explode(words("text")).alias("word"))
+    rows = fx.documents(spark, folder).select("doc_id", F.explode(words("text")).alias("word"))
     return rows.groupBy("doc_id", only_letters("word").alias("letters")).agg(F.count(F.lit(1)).alias("cnt"))
 
 
 @query("min_terms_filter", f"{_TERMS} SELECT doc_id, count(*)::INT AS n FROM terms GROUP BY doc_id HAVING count(*) > 1")
 def min_terms_filter(spark, folder):
-    docs = table(spark, folder, "documents").select("doc_id", term_list("text").alias("terms"))
+    docs = fx.document_terms(spark, folder)
     return tfidf.min_terms_filter(docs).select("doc_id", F.size("terms").alias("n"))
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyforge.functions.times import ten_minute_bucket
+from tallyforge.plans.layout import computed_once
 
 # Names of the payload fields, record type, and texts for missing and malformed input.
 PAYLOAD_FIELDS = [
@@ -26,11 +27,9 @@ def parse_json_safe(df: DataFrame, column: str, schema: T.StructType = AD_SCHEMA
     """Add struct ``into``; its field ``error`` is set, and all others NULL, where the text is not a JSON object."""
     permissive = T.StructType([*schema.fields, T.StructField("_malformed", T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_malformed"}
-    parsed = df.withColumn(into, F.from_json(F.col(column), permissive, options))
+    parsed = computed_once(df, into, F.from_json(F.col(column), permissive, options))
     failed = F.col(f"{into}._malformed").isNotNull() | F.col(column).isNull()
-    fields = [
-        F.when(~failed, F.col(f"{into}.{f.name}")).alias(f.name) for f in schema.fields
-    ]
+    fields = [F.when(~failed, F.col(f"{into}.{f.name}")).alias(f.name) for f in schema.fields]
     return parsed.withColumn(into, F.struct(*fields, F.when(failed, F.lit(PARSE_ERROR)).alias("error")))
 
 

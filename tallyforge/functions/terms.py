@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyforge.functions.stopwords import ENGLISH_STOPWORDS
+from tallyforge.plans.layout import unnest
 
 # Fixed value: a word is a run of letters, digits and apostrophes.
 WORD_BREAK = r"[^\p{L}\p{N}']+"
@@ -42,7 +43,7 @@ def term_rows(
 
     ``stopwords`` is a word list or a DataFrame with column ``word``; ``lemmas`` maps ``word`` to ``lemma``.
     """
-    rows = df.select(*keep, F.explode(F.split(F.col(text), WORD_BREAK)).alias("word"))
+    rows = unnest(df, keep, F.split(F.col(text), WORD_BREAK), "word")
     if lemmas is not None:
         base = lemmas.select("word", "lemma").dropDuplicates(["word"])
         rows = rows.join(base, "word", "left").select(*keep, F.coalesce("lemma", "word").alias("word"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyforge.plans.layout import computed_once
+
 # The line pattern and the fields of its groups, in order.
 ACCESS_LOG_PATTERN = (
     r'^(\S+) (\S+) (\S+) \[([\w\d:\/]+\s[+\-]\d{4})\] "(\S+) (\S+) (\S+)" (\d{3}) ([\d\-]+) "([^"]+)" "([^"]+)'
@@ -15,10 +17,20 @@ ACCESS_LOG_FIELDS = [
 ]
 
 
+# What the pattern leaves of a line that matches: its groups, a line break before each.
+_GROUPS_APART = "".join(f"\n${i}" for i in range(1, len(ACCESS_LOG_FIELDS) + 1))
+
+
 def parse_access_log(df: DataFrame, column: str = "line", keep: tuple[str, ...] = ()) -> DataFrame:
-    """Eleven columns from a log line. A line that does not match stays, with empty texts and zeros."""
+    """Eleven columns from a log line. A line that does not match stays, with empty texts and zeros.
+
+    The pattern runs once per line, not once per column: it puts line breaks, which a line has none of, between groups.
+    """
+    apart = F.split(F.regexp_replace(F.col(column), ACCESS_LOG_PATTERN + ".*", _GROUPS_APART), "\n", -1)
+    lines = computed_once(df.select(*dict.fromkeys([*keep, column])), "_groups", apart)
+    matched = F.size("_groups") == len(ACCESS_LOG_FIELDS) + 1
     groups = {
-        name: F.regexp_extract(F.col(column), ACCESS_LOG_PATTERN, i)
+        name: F.when(matched, F.get("_groups", F.lit(i))).otherwise("")
         for i, name in enumerate(ACCESS_LOG_FIELDS, start=1)
     }
     endpoint, size = groups["endpoint"], groups["content_size"]
@@ -27,4 +39,4 @@ def parse_access_log(df: DataFrame, column: str = "line", keep: tuple[str, ...]
     )
     groups["response_code"] = F.coalesce(groups["response_code"].try_cast("int"), F.lit(0))
     groups["content_size"] = F.coalesce(size.try_cast("bigint"), F.lit(0).cast("bigint"))
-    return df.select(*keep, *[expr.alias(name) for name, expr in groups.items()])
+    return lines.select(*keep, *[expr.alias(name) for name, expr in groups.items()])

@@ -8,10 +8,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyforge.functions.scalars import list_has, split_on_spaces
+from tallyforge.plans.layout import unnest
 
 
 def tokenize_space(lines: DataFrame, column: str = "value") -> DataFrame:
-    return lines.select(F.explode(split_on_spaces(column)).alias("word"))
+    return unnest(lines, [], split_on_spaces(column), "word")
 
 
 def word_count(lines: DataFrame, column: str = "value") -> DataFrame:

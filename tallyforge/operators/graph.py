@@ -27,9 +27,13 @@ def cooccurrence(doc_topics: DataFrame, doc: str = "doc", topic: str = "topic",
 
     The pairs of a document are the result asked for. So that a document with very many topics does not land in one task,
     its topics are cut into blocks and each pair of blocks is a join group of its own, of at most about (2 * block)^2
-    pairs; a common document has one block. Pairs are counted before they are shuffled.
+    pairs; a common document has one block. Pairs are counted before they are shuffled. The topics of documents are
+    written once, as every step needs them.
     """
-    repeats = doc_topics.groupBy(F.col(doc).alias("doc"), F.col(topic).alias("topic")).agg(F.count(F.lit(1)).alias("n"))
+    repeats = materialize(
+        doc_topics.groupBy(F.col(doc).alias("doc"), F.col(topic).alias("topic")).agg(F.count(F.lit(1)).alias("n")),
+        "document-topics",
+    )
     sizes = repeats.groupBy("doc").agg(F.count(F.lit(1)).alias("topics")).where(F.col("topics") > block)
     blocks = F.coalesce(F.ceil(F.col("topics") / block).cast("int"), F.lit(1))
     placed = repeats.join(sizes, "doc", "left").select(

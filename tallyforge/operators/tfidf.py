@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyforge.functions.scalars import idf as idf_of
 from tallyforge.plans.durable import materialize
+from tallyforge.plans.layout import computed_once, unnest
 
 # Default vocabulary size and the least number of terms of a document.
 VOCABULARY = 50_000
@@ -30,7 +31,10 @@ def term_freq(
     aggregation and no join. ``opens`` is 1 in one row per document (that of its first term), so its sum counts the
     documents. The least number of terms is checked on the result: a filter on the array would build it twice.
     """
-    rows = docs.select(doc, F.size(terms).alias("doc_terms"), F.posexplode(terms).alias("pos", "term"))
+    # The size is taken below the explode; next to it, the whole array would be copied into every exploded row.
+    once = computed_once(docs.select(doc, F.col(terms).alias("_terms")), "_list", F.col("_terms"))
+    sized = once.select(doc, F.size("_list").alias("doc_terms"), "_list")
+    rows = unnest(sized, (doc, "doc_terms"), F.col("_list"), "term", "pos")
     counts = rows.groupBy(doc, "term").agg(
         F.count(F.lit(1)).alias("tf"), F.max("doc_terms").alias("doc_terms"),
         F.max((F.col("pos") == 0).cast("int")).alias("opens"),
