@@ -14,7 +14,8 @@ from pyspark.mllib.util import MLUtils
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyforge.functions.vectors import array_literal, dot, scale, unit
+from tallyforge.functions.matrices import dot_with, unit_rows
+from tallyforge.functions.vectors import array_literal, scale
 from tallyforge.operators.counting import topk_per_group
 
 # Default rank, and the length of a result list.
@@ -98,18 +99,21 @@ def scale_by_diagonal(matrix: DataFrame, diagonal: Column | Sequence[float], col
 
 def rows_normalize(matrix: DataFrame, column: str = "vec") -> DataFrame:
     """Rows divided by their length; a zero row becomes NULL."""
-    return matrix.withColumn(column, unit(column))
+    return matrix.withColumn(column, unit_rows(F.col(column)))
 
 
-def score_against(matrix: DataFrame, vector: Column, key: str, n: int = TOP) -> DataFrame:
+def score_against(matrix: DataFrame, vector: Sequence[float] | None, key: str, n: int = TOP) -> DataFrame:
     """The n rows with the largest dot product with one vector; rows without a score are left out."""
-    paired = matrix.select(key, "vec", vector.alias("_vector"))
-    scored = paired.select(key, dot("vec", "_vector").alias("score")).where(F.col("score").isNotNull())
+    if vector is None:
+        matrix, vector = matrix.limit(0), [0.0]
+    scored = matrix.select(key, dot_with(F.col("vec"), vector).alias("score")).where(F.col("score").isNotNull())
     return scored.orderBy(F.desc("score"), key).limit(n)
 
 
-def _row_of(matrix: DataFrame, key: str, value: object) -> Column:
-    return matrix_row(matrix, key, value).select("vec").limit(1).scalar()
+def _row_of(matrix: DataFrame, key: str, value: object) -> Sequence[float] | None:
+    """One row of a factor, as long as its rank: the only thing a query fetches."""
+    row = matrix_row(matrix, key, value).select("vec").first()
+    return None if row is None else row.vec
 
 
 def similar_rows(normal: DataFrame, key: str, value: object, n: int = TOP) -> DataFrame:
@@ -139,15 +143,16 @@ def lsa_query_vector(vocab: DataFrame, terms: Sequence[str]) -> DataFrame:
     return vocab.where(F.col("term").isin(*terms)).select("idx", "term", F.col("idf").alias("value"))
 
 
-def project_query(v: DataFrame, query: DataFrame) -> Column:
-    """The query times the term factor, one number per concept, as a scalar array."""
+def project_query(v: DataFrame, query: DataFrame) -> list[float]:
+    """The query times the term factor: one number per concept."""
     parts = v.join(query, "idx").select(F.posexplode("vec").alias("concept", "x"), "value")
-    sums = parts.groupBy("concept").agg(F.sum(F.col("x") * F.col("value")).alias("x"))
-    return sums.agg(F.transform(F.sort_array(F.collect_list(F.struct("concept", "x"))), lambda s: s.x)).scalar()
+    sums = parts.groupBy("concept").agg(F.sum(F.col("x") * F.col("value")).alias("x")).collect()
+    by_concept = {r.concept: r.x for r in sums}
+    return [by_concept[i] for i in range(len(by_concept))]
 
 
 def docs_for_query(us: DataFrame, v: DataFrame, query: DataFrame, doc: str = "doc_id", n: int = TOP) -> DataFrame:
-    return score_against(us, project_query(v, query), doc, n)
+    return score_against(us, project_query(v, query) or None, doc, n)
 
 
 def lsa_docs_for_query(svd: Decomposition, vocab: DataFrame, terms: Sequence[str], n: int = TOP) -> DataFrame:

@@ -16,7 +16,7 @@ def spread(scan: DataFrame, *keys: str, at_least: int | None = None) -> DataFram
     """
     context = scan.sparkSession.sparkContext
     wanted = at_least or context.defaultParallelism
-    if scan._jdf.queryExecution().toRdd().getNumPartitions() >= wanted:
+    if scan.rdd.getNumPartitions() >= wanted:
         return scan
     return scan.repartition(wanted, *keys)
 

@@ -7,7 +7,7 @@ import math
 
 from pyspark.sql import functions as F
 
-from tallyforge.functions import adlogs, scalars, times, vectors, weblogs
+from tallyforge.functions import adlogs, matrices, scalars, times, weblogs
 from tallyforge.functions.terms import only_letters, term_list, term_rows
 from tallyforge.operators import clustering, counting, cube, features, profiling, sampling, tfidf, trees
 from tallyforge.sources import sinks, text, xml
@@ -167,7 +167,7 @@ def test_onehot_positions(spark):
 
 
 def test_unit_of_zero_is_null(spark):
-    row = spark.range(1).select(vectors.unit(F.array(F.lit(0.0), F.lit(0.0))).alias("z"), vectors.unit(F.array(F.lit(3.0), F.lit(4.0))).alias("u"))
+    row = spark.range(1).select(matrices.unit_rows(F.array(F.lit(0.0), F.lit(0.0))).alias("z"), matrices.unit_rows(F.array(F.lit(3.0), F.lit(4.0))).alias("u"))
     assert row.first().z is None and row.first().u == [0.6, 0.8]
 
 
