@@ -17,8 +17,9 @@ from tallyforge.catalog.logs import _ADS, _CUBE_DIMS, _CUBE_SHOWN, _LOGS, ad_lin
 from tallyforge.catalog.registry import query, table
 from tallyforge.functions.weblogs import parse_access_log
 from tallyforge.plans.durable import new_folder
-from tallyforge.sources.sinks import read_counters
-from tallyforge.sources.streams import source_parquet_files
+from tallyforge.functions.adlogs import read_ad_log
+from tallyforge.sources.sinks import read_counters, sink_print
+from tallyforge.sources.streams import KAFKA_SCHEMA, message_lines, source_parquet_files, stream_source
 from tallyforge.streaming import jobs
 
 _TEN_DAYS = "least(floor((day(ts) - 1) / 10), 2)"
@@ -169,6 +170,37 @@ def stream_window_sql(spark, folder):
     return shown(result)
 
 
+@query("source_kafka", f"""
+WITH {_ADS} SELECT query_type, os, count(*) AS cnt FROM ads GROUP BY ALL""")
+def source_kafka(spark, folder):
+    """Messages with the columns of a Kafka reader, taken from files, as the connector is not part of Spark itself."""
+    lines = ad_lines(spark, folder)
+    messages = lines.select(
+        F.col("event_id").cast("string").cast("binary").alias("key"), F.col("line").cast("binary").alias("value"),
+        F.lit("basic_log").alias("topic"), (F.col("event_id") % 3).cast("int").alias("partition"),
+        F.col("event_id").alias("offset"), F.col("ts").cast("timestamp").alias("timestamp"),
+        F.lit(0).alias("timestampType"),
+    )
+    folder_in, out, checkpoint = (new_folder(spark, tag) for tag in ("stream-in", "stream-out", "stream-state"))
+    messages.write.parquet(folder_in)
+    stream = message_lines(stream_source(spark, "parquet", KAFKA_SCHEMA, path=folder_in))
+    jobs.run(read_ad_log(stream), jobs.batch_writer(out), checkpoint).awaitTermination()
+    return spark.read.parquet(out).groupBy("query_type", "os").agg(F.count(F.lit(1)).alias("cnt"))
+
+
+@query("sink_print", "SELECT count(*) AS rows_seen FROM events")
+def sink_print_query(spark, folder):
+    """Runs the console sink over all events; the result is how many rows it was given."""
+    folder_in, checkpoint = new_folder(spark, "stream-in"), new_folder(spark, "stream-state")
+    events = table(spark, folder, "events").select("event_id", "event_type")
+    events.write.parquet(folder_in)
+    stream = source_parquet_files(spark, folder_in, events.schema)
+    started = sink_print(stream).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    started.awaitTermination()
+    seen = sum(progress["numInputRows"] for progress in started.recentProgress)
+    return spark.createDataFrame([(seen,)], "rows_seen bigint")
+
+
 @query("stream_ad_cube", f"""
 WITH {_ADS}, cells AS (SELECT time, query_type, {_CUBE_SHOWN}, count(*) AS n FROM ads
 GROUP BY time, query_type, CUBE ({', '.join(_CUBE_DIMS)}))

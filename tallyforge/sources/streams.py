@@ -34,8 +34,18 @@ def kafka_options(properties: Mapping[str, str], topic_key: str = "topic", group
 
 def source_kafka(spark: SparkSession, properties: Mapping[str, str], **keys: str) -> DataFrame:
     """Message values as text column ``line``; needs the Kafka connector on the class path."""
-    stream = stream_source(spark, "kafka", **kafka_options(properties, **keys))
-    return stream.select(F.col("value").cast("string").alias("line"), F.col("timestamp").alias("ts"))
+    return message_lines(stream_source(spark, "kafka", **kafka_options(properties, **keys)))
+
+
+# The columns every Kafka reader gives.
+KAFKA_SCHEMA = (
+    "key BINARY, value BINARY, topic STRING, partition INT, offset BIGINT, timestamp TIMESTAMP, timestampType INT"
+)
+
+
+def message_lines(messages: DataFrame) -> DataFrame:
+    """Message values as text, with the time of the message."""
+    return messages.select(F.col("value").cast("string").alias("line"), F.col("timestamp").alias("ts"))
 
 
 def source_socket(spark: SparkSession, host: str, port: int) -> DataFrame:
