@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyforge.catalog.registry import Query, table
-from tallyforge.llm import bpe, language_id, mixing, secret_scan, simhash
+from tallyforge.llm import ann, bpe, embed_neardup, language_id, mixing, secret_scan, simhash, substring_dedup, url_filter, warc
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -24,6 +24,17 @@ def vocabulary_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+@_query
+def op1_embedding_neardup(spark: SparkSession, folder: str) -> DataFrame:
+    return embed_neardup.near_duplicates(table(spark, folder, "embeddings"))
+
+
+@_query
+def op2_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages")
+    return url_filter.filter_urls(pages, url_filter.shared_addresses(pages))
+
+
 @_query
 def op3_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.secret_digests(table(spark, folder, "documents"))
@@ -38,11 +49,27 @@ def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language_id.identify(of_docs.unionByName(of_pages), of_docs.select("text", "declared"), ["doc_id", "page_id"])
 
 
+@_query
+def op5_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.archive_pages(table(spark, folder, "pages"))
+
+
+@_query
+def op6_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substring_dedup.remove_repeats(table(spark, folder, "documents")).drop("kept")
+
+
 @_query
 def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents"))
 
 
+@_query
+def op8_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    return ann.nearest(vectors, vectors.where(F.col("vec_id") % 100 == 0))
+
+
 @_query
 def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.simhash_components(table(spark, folder, "documents"))
@@ -51,3 +78,31 @@ def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
 @_query
 def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.round_trip(table(spark, folder, "documents"), vocabulary_path())
+
+
+_IDLE = "^(utm_[a-z]+|ref|gclid|fbclid|sessionid)="
+ORACLES["op2_url_filters"] = rf"""
+WITH cut AS (
+  SELECT page_id, coalesce(url, '') AS url,
+    translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path,
+    list_filter(string_split(regexp_extract(coalesce(url, ''), '(?s)^[^?#]*\?([^#]*)', 1), '&'),
+      x -> x <> '' AND NOT regexp_matches(x, '{_IDLE}')) AS parts
+  FROM pages),
+named AS (
+  SELECT page_id, host, path, CASE WHEN host <> '' THEN
+    regexp_replace(regexp_replace(host, '^www\.', ''), ':(80|443)$', '')
+    || regexp_replace(regexp_replace(path, '(/index)?\.html?$', ''), '/+$', '')
+    || CASE WHEN len(parts) > 0 THEN '?' || array_to_string(parts, '&') ELSE '' END END AS canonical
+  FROM cut),
+listed AS (SELECT canonical FROM named WHERE canonical IS NOT NULL GROUP BY 1 HAVING count(*) > 1),
+rules(says, of_host, start) AS (VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'),
+  ('allow', 'com', '/fr/'), ('block', 'com', '/de/')),
+ruled AS (
+  SELECT n.*, (SELECT arg_max(of_host || start || ' ' || says, length(of_host) + length(start)) FROM rules
+    WHERE (n.host = of_host OR ends_with(n.host, '.' || of_host)) AND starts_with(n.path, start)) AS hit
+  FROM named n)
+SELECT r.page_id, r.host, r.path, split_part(hit, ' ', 1) AS rule, r.canonical, l.canonical IS NOT NULL AS listed,
+  coalesce(split_part(hit, ' ', 2), CASE WHEN l.canonical IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict
+FROM ruled r LEFT JOIN listed l ON r.canonical = l.canonical
+"""
