@@ -87,7 +87,7 @@ WITH cut AS (
     translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
     regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path,
     list_filter(string_split(regexp_extract(coalesce(url, ''), '(?s)^[^?#]*\?([^#]*)', 1), '&'),
-      x -> x <> '' AND NOT regexp_matches(x, '{_IDLE}')) AS parts
+      lambda x: x <> '' AND NOT regexp_matches(x, '{_IDLE}')) AS parts
   FROM pages),
 named AS (
   SELECT page_id, host, path, CASE WHEN host <> '' THEN
