@@ -178,7 +178,7 @@ def decision_tree(spark, folder):
 
 @query("tree_grid")
 def tree_grid(spark, folder):
-    return trees.tree_grid(*tree_parts(spark, folder), grid={**trees.PLAIN_GRID, "depth": (1, 10)})
+    return trees.tree_grid(*tree_parts(spark, folder))
 
 
 _CODED = {10: 5, 11: 40}
@@ -186,14 +186,13 @@ _CODED = {10: 5, 11: 40}
 
 @query("tree_grid_categorical")
 def tree_grid_categorical(spark, folder):
-    grid = {"impurity": ("gini", "entropy"), "depth": (10,), "bins": (40, 300)}
-    return trees.tree_grid_categorical(*tree_parts(spark, folder, coded=True), categories=_CODED, grid=grid)
+    return trees.tree_grid_categorical(*tree_parts(spark, folder, coded=True), categories=_CODED)
 
 
 @query("random_forest")
 def random_forest(spark, folder):
     train, check, _ = (trees.declare_nominal(p, 12, _CODED) for p in tree_parts(spark, folder, coded=True))
-    model = trees.random_forest(train, depth=10)
+    model = trees.random_forest(train)
     return trees.accuracy(model.transform(check))
 
 

@@ -59,7 +59,7 @@ df AS (SELECT term, count(*) AS df FROM tf GROUP BY 1)"""
 _VOCAB = f"""{_DOCS}, vocab AS (
 SELECT term, df, (row_number() OVER (ORDER BY df DESC, term) - 1)::INT AS idx,
        ln((SELECT count(*) FROM sized) / df) AS idf FROM df QUALIFY idx < SIZE)"""
-SIZE = 2000
+SIZE = 50_000
 
 
 @query("term_freq", f"{_DOCS} SELECT doc_id, doc_terms::INT AS doc_terms, term, tf FROM tf")

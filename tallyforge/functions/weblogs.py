@@ -17,16 +17,22 @@ ACCESS_LOG_FIELDS = [
 ]
 
 
-# What the pattern leaves of a line that matches: its groups, a line break before each.
-_GROUPS_APART = "".join(f"\n${i}" for i in range(1, len(ACCESS_LOG_FIELDS) + 1))
+# What the pattern leaves of a line that matches: its groups, a control character before each.
+_MARK = "\x01"
+_GROUPS_APART = "".join(f"{_MARK}${i}" for i in range(1, len(ACCESS_LOG_FIELDS) + 1))
 
 
 def parse_access_log(df: DataFrame, column: str = "line", keep: tuple[str, ...] = ()) -> DataFrame:
     """Eleven columns from a log line. A line that does not match stays, with empty texts and zeros.
 
-    The pattern runs once per line, not once per column: it puts line breaks, which a line has none of, between groups.
+    The pattern runs once per line, not once per column: it puts a control character between groups. Only a line that
+    holds this character itself is matched again for each group. A line may be a message with line breaks.
     """
-    apart = F.split(F.regexp_replace(F.col(column), ACCESS_LOG_PATTERN + ".*", _GROUPS_APART), "\n", -1)
+    line = F.col(column)
+    apart = F.split(F.regexp_replace(line, ACCESS_LOG_PATTERN + "(?s:.*)", _GROUPS_APART), _MARK, -1)
+    each = F.array(F.lit(""), *[F.regexp_extract(line, ACCESS_LOG_PATTERN, i + 1) for i in range(len(ACCESS_LOG_FIELDS))])
+    marked = F.when(line.rlike(ACCESS_LOG_PATTERN), each).otherwise(F.array(F.lit("")))
+    apart = F.when(line.contains(_MARK), marked).otherwise(apart)
     lines = computed_once(df.select(*dict.fromkeys([*keep, column])), "_groups", apart)
     matched = F.size("_groups") == len(ACCESS_LOG_FIELDS) + 1
     groups = {

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -131,7 +133,7 @@ def filter_edges(edges: DataFrame, more_than: float = SIGNIFICANT) -> DataFrame:
     return edges.where(F.col("attr") > more_than)
 
 
-def _star_round(links: DataFrame, large: bool) -> DataFrame:
+def _star_round(links: DataFrame, large: bool, save: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Hook the neighbours of every node to the smallest of them: the larger ones (``large``), or the smaller ones."""
     if large:
         around = links.select("node", "to").unionByName(links.select(F.col("to").alias("node"), F.col("node").alias("to")))
@@ -139,7 +141,9 @@ def _star_round(links: DataFrame, large: bool) -> DataFrame:
         around = links.select("node", "to")
     least = around.groupBy("node").agg(F.min("to").alias("least"))
     least = least.select("node", F.least("node", "least").alias("root"))
-    # Only the side of links can have hot keys; the other has one row per node, so runtime skew splitting applies.
+    # Written first: runtime skew splitting needs a shuffle directly below both sides of the join, and an aggregate on the
+    # key would stand in its place.
+    least = save(least)
     hooked = around.join(least, "node")
     if large:
         moved = hooked.where(F.col("to") > F.col("node")).select(F.col("to").alias("node"), F.col("root").alias("to"))
@@ -172,8 +176,8 @@ def connected_components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     ).distinct()
     links = rounds.save(links)
     while not _is_settled(links):
-        links = rounds.save(_star_round(links, large=True))
-        links = rounds.save(_star_round(links, large=False))
+        links = rounds.save(_star_round(links, True, rounds.save))
+        links = rounds.save(_star_round(links, False, rounds.save))
     roots = links.select(F.col("node").alias("id"), F.col("to").alias("component"))
     return vertices.select("id").join(roots, "id", "left").select("id", F.coalesce("component", "id").alias("component"))
 

@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyforge.functions.scalars import is_header
+from tallyforge.plans.layout import computed_once
+
 # Layout of a record-linkage file.
 LINKAGE_SCORES = 9
 MISSING_SCORE = "?"
@@ -24,8 +27,11 @@ def linkage_schema() -> T.StructType:
 
 
 def scan_linkage_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Pairs with nine scores and a match flag. Header lines go, ``?`` is NULL."""
-    return spark.read.schema(linkage_schema()).csv(path, header=True, enforceSchema=True, nullValue=MISSING_SCORE)
+    """Pairs with nine scores and a match flag. Header lines go wherever they stand in a file, ``?`` is NULL."""
+    lines = spark.read.text(path).where(~is_header("value") & (F.trim("value") != ""))
+    fields = ", ".join(f"{field.name} {field.dataType.simpleString()}" for field in linkage_schema().fields)
+    row = F.from_csv("value", fields, {"nullValue": MISSING_SCORE})
+    return computed_once(lines, "_row", row).select("_row.*")
 
 
 def with_scores(linkage: DataFrame) -> DataFrame:
