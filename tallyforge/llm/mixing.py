@@ -172,5 +172,8 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", source_col: str = "
     copies = found.where(F.col("size") > 0).groupBy(F.col(id_col).alias("_id")).agg(
         F.round(F.sum("taken") / F.sum("size")).cast("int").alias("_copies")
     ).where(F.col("_copies") > 0)
-    rows = docs.join(copies, F.col(id_col) == F.col("_id")).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-    return rows.select(*[docs[c] for c in docs.columns])
+    # Columns go by place, so that names in ``docs`` can't clash with those made here.
+    names = [f"_c{n}" for n in range(len(docs.columns))]
+    rows = docs.toDF(*names).join(copies, F.col(names[docs.columns.index(id_col)]) == F.col("_id"))
+    rows = rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+    return rows.select(*names).toDF(*docs.columns)
