@@ -28,7 +28,7 @@ WEIGHTS, SHARE, MOST = (5, 2, 1), 1.5, 2
 #: Words of a block.
 BLOCK = 2048
 #: Rows of a range of a running total, about.
-RANGE_ROWS = 20_000
+RANGE_ROWS = 2_000
 #: Golden-ratio points are multiples of this number modulo 2^31.
 _STEP, _POINTS = 1_327_217_885, 1 << 31
 _SEED = 20_240_229
