@@ -3,7 +3,8 @@
 Each vector, less the mean, is scaled to length one and rotated at random; the signs of its coordinates are its code. With two
 numbers beside it, the length and the inner product of vector and code, the inner product with any query can be estimated, and
 the error is below a bound except with small probability. So each distance has a lower and an upper bound. A vector can be
-left out for a query if its lower bound is above the k-th smallest upper bound; the rest is ranked by exact distances.
+left out for a query if its lower bound is above the k-th smallest upper bound; the rest is ranked by exact distances, in the
+task that has chosen it, so that only the nearest of each task leave it and never the pairs that were ranked.
 
 Codes and queries meet in a grid: codes are dealt into chunks, queries into blocks, and each pair of chunk and block is a task
 of bounded size. Equal vectors have one code, and only as many of their ids as a result can show are carried along, so that
@@ -38,7 +39,7 @@ def rotation(size: int) -> np.ndarray:
 
 
 def _codes(classes: DataFrame, centre: np.ndarray, turn: np.ndarray) -> DataFrame:
-    """(rep, code, length, factor): signs of the rotated unit vectors, and their inner product with the vector they stand for."""
+    """(rep, vec, code, length, factor): signs of the rotated unit vectors, and their inner product with the vector they stand for."""
     size = len(centre)
 
     def run(batches):
@@ -50,11 +51,11 @@ def _codes(classes: DataFrame, centre: np.ndarray, turn: np.ndarray) -> DataFram
             unit = np.divide(moved, length[:, None], out=np.zeros_like(moved), where=length[:, None] > 0) @ turn.T
             bits = np.packbits(unit > 0, axis=1)
             factor = np.abs(unit).sum(axis=1) / math.sqrt(size)
-            columns = [batch.column(0), pa.array([row.tobytes() for row in bits]), pa.array(length), pa.array(factor)]
-            yield pa.RecordBatch.from_arrays(columns, ["rep", "code", "length", "factor"])
+            columns = [*batch.columns, pa.array([row.tobytes() for row in bits]), pa.array(length), pa.array(factor)]
+            yield pa.RecordBatch.from_arrays(columns, ["rep", "vec", "code", "length", "factor"])
 
     rep = classes.schema["rep"].dataType.simpleString()
-    return classes.select("rep", "vec").mapInArrow(run, f"rep {rep}, code binary, length double, factor double")
+    return classes.select("rep", "vec").mapInArrow(run, f"rep {rep}, vec array<double>, code binary, length double, factor double")
 
 
 def _bounds(codes: np.ndarray, length: np.ndarray, factor: np.ndarray, queries: np.ndarray, reach: np.ndarray) -> tuple:
@@ -71,34 +72,45 @@ def _bounds(codes: np.ndarray, length: np.ndarray, factor: np.ndarray, queries:
     return base - both * np.minimum(1, cosine + error), base - both * np.maximum(-1, cosine - error)
 
 
-def _candidates(codes: pa.Table, queries: pa.Table, centre: np.ndarray, turn: np.ndarray, most: int) -> pa.Table:
-    """(query, rep, low, high): what can be among the ``most`` nearest of one chunk for each query of one block."""
+def _nearest_of_block(codes: pa.Table, queries: pa.Table, centre: np.ndarray, turn: np.ndarray, most: int) -> pa.Table:
+    """(query, rep, score): the ``most`` nearest of one chunk for each query of one block, ties to the smaller rep."""
     size = len(centre)
-    reps = codes.column("rep").to_numpy()
+    reps, vectors = codes.column("rep").to_numpy(), matrix(codes.column("vec").combine_chunks(), size)
     code = np.frombuffer(b"".join(codes.column("code").to_pylist()), dtype=np.uint8).reshape(len(reps), -1)
     length, factor = codes.column("length").to_numpy(), codes.column("factor").to_numpy()
-    names = queries.column("query").to_numpy()
-    moved = matrix(queries.column("vec").combine_chunks(), size) - centre
+    names, asked = queries.column("query").to_numpy(), matrix(queries.column("vec").combine_chunks(), size)
+    moved = asked - centre
     reach = np.linalg.norm(moved, axis=1)
     unit = np.divide(moved, reach[:, None], out=np.zeros_like(moved), where=reach[:, None] > 0) @ turn.T
     out = []
     for q in range(0, len(names), _QUERIES):
-        asked, near = slice(q, q + _QUERIES), np.empty((0, min(_QUERIES, len(names) - q)))
-        kept: list[tuple[np.ndarray, ...]] = []
+        some = slice(q, q + _QUERIES)
+        count = len(names[some])
+        near = np.empty((0, count))
+        rows, cols, lows = [], [], []
         for c in range(0, len(reps), _CODES):
-            some = slice(c, c + _CODES)
-            low, high = _bounds(code[some], length[some], factor[some], unit[asked], reach[asked])
+            part = slice(c, c + _CODES)
+            low, high = _bounds(code[part], length[part], factor[part], unit[some], reach[some])
             near = np.concatenate((near, high))
             if len(near) > most:
                 near = np.partition(near, most - 1, axis=0)[:most]
-            limit = near.max(axis=0) if len(near) == most else np.full(near.shape[1], np.inf)
+            limit = near.max(axis=0) if len(near) == most else np.full(count, np.inf)
             row, col = np.nonzero(low <= limit)
-            kept.append((names[asked][col], reps[some][row], low[row, col], high[row, col], col))
-        query, rep, low, high, col = (np.concatenate(x) for x in zip(*kept, strict=True))
+            rows.append((row + c).astype(np.int32)), cols.append(col.astype(np.int32)), lows.append(low[row, col])
+        row, col, low = (np.concatenate(x) for x in (rows, cols, lows))
         last = low <= limit[col]
-        out.append((query[last], rep[last], low[last], high[last]))
+        row, col = row[last], col[last]
+        order = np.argsort(col, kind="stable")
+        row, col = row[order], col[order]
+        # The rest is ranked exactly, one query at a time.
+        edges = np.searchsorted(col, np.arange(count + 1))
+        for n in range(count):
+            chosen = row[edges[n] : edges[n + 1]]
+            score = np.sqrt(((vectors[chosen] - asked[q + n]) ** 2).sum(axis=1))
+            best = np.lexsort((reps[chosen], score))[:most]
+            out.append((np.full(len(best), names[q + n]), reps[chosen[best]], score[best]))
     columns = [np.concatenate(x) for x in zip(*out, strict=True)]
-    return pa.table(columns, names=["query", "rep", "low", "high"])
+    return pa.table(columns, names=["query", "rep", "score"])
 
 
 def nearest(
@@ -140,23 +152,16 @@ def nearest(
 
     def search(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
-            return pa.table([pa.array([], left.schema.field("rep").type)] * 2 + [pa.array([], pa.float64())] * 2, names=["query", "rep", "low", "high"])
-        return _candidates(left, right, centre, turn, k + 1)
+            key = left.schema.field("rep").type
+            return pa.table([pa.array([], key), pa.array([], key), pa.array([], pa.float64())], names=["query", "rep", "score"])
+        return _nearest_of_block(left, right, centre, turn, k + 1)
 
     found = dealt.groupBy("chunk", "block").cogroup(posed.groupBy("chunk", "block")).applyInArrow(
-        search, f"query {kind}, rep {kind}, low double, high double"
+        search, f"query {kind}, rep {kind}, score double"
     )
-    # The bounds of all chunks together leave fewer to rank.
-    by_high = Window.partitionBy("query").orderBy("high", "rep").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    limit = F.nth_value("high", k + 1).over(by_high)
-    found = found.withColumn("_limit", limit).where(F.col("_limit").isNull() | (F.col("low") <= F.col("_limit")))
-    found = materialize(found.select("query", "rep"), "ann-candidates")
-
-    vec = classes.select("rep", "vec", "ids")
-    pairs = found.join(vec, "rep").join(distinct_queries.select("query", F.col("vec").alias("_asked")), "query")
-    squares = F.zip_with("vec", "_asked", lambda a, b: (a - b) * (a - b))
-    score = F.sqrt(F.aggregate(squares, F.lit(0.0), lambda total, x: total + x))
-    ranked = pairs.select("query", score.alias("score"), F.explode("ids").alias("vec_id"))
+    best = Window.partitionBy("query").orderBy("score", "rep")
+    found = found.withColumn("_n", F.row_number().over(best)).where(F.col("_n") <= k + 1).drop("_n")
+    ranked = found.join(classes.select("rep", "ids"), "rep").select("query", "score", F.explode("ids").alias("vec_id"))
     order = ["score", "vec_id"]
     ranked = ranked.withColumn("_n", F.row_number().over(Window.partitionBy("query").orderBy(*order))).where(F.col("_n") <= k + 1)
     ranked = materialize(ranked.drop("_n"), "ann-ranked")
