@@ -305,18 +305,24 @@ def kmeans_fit(spark, folder):
 
 @query("kmeans_sweep_distance")
 def kmeans_sweep_distance(spark, folder):
+    """The three sweeps: coarse from one start by the library's tolerance, then fine, then normalised."""
     rows = network_features(spark, folder)
-    return clustering.kmeans_sweep_distance(rows, clustering.SWEEP_COARSE, normalise=True, starts=1)
+    coarse = clustering.kmeans_sweep_distance(rows, clustering.SWEEP_COARSE, starts=1, tol=1e-4)
+    fine = clustering.kmeans_sweep_distance(rows, clustering.SWEEP_FINE)
+    normal = clustering.kmeans_sweep_distance(rows, clustering.SWEEP_NORMAL, normalise=True)
+    named = [part.select(F.lit(name).alias("sweep"), "k", "mean_distance")
+             for name, part in (("coarse", coarse), ("fine", fine), ("normal", normal))]
+    return named[0].unionByName(named[1]).unionByName(named[2])
 
 
 @query("kmeans_sweep_entropy")
 def kmeans_sweep_entropy(spark, folder):
-    return clustering.kmeans_sweep_entropy(encoded(spark, folder), ks=(10, 20), starts=2)
+    return clustering.kmeans_sweep_entropy(encoded(spark, folder))
 
 
 @query("kmeans_anomalies")
 def kmeans_anomalies(spark, folder):
-    far = clustering.kmeans_anomalies(encoded(spark, folder), starts=1)
+    far = clustering.kmeans_anomalies(encoded(spark, folder))
     return far.select(*_NETWORK_KEYS, "cluster", "distance")
 
 

@@ -13,19 +13,16 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Numbers a matrix may have: it is sent with every task. Ten thousand centres of a hundred numbers are well below.
+# Numbers of a matrix that is sent with every task. A larger one goes in blocks of rows, with the same result.
 MAX_NUMBERS = 4_000_000
 
 # Numbers of one intermediate block.
 _BLOCK = 2_000_000
 
 
-def small_matrix(rows: Sequence[Sequence[float]]) -> np.ndarray:
-    """The rows as a matrix, refused if it is too large to travel."""
-    matrix = np.asarray(rows, dtype="float64")
-    if matrix.size > MAX_NUMBERS:
-        raise ValueError(f"a matrix of {matrix.size} numbers is too large to send with every task")
-    return matrix
+def block_rows(width: int) -> int:
+    """How many rows of this width a block has."""
+    return max(1, MAX_NUMBERS // max(1, width))
 
 
 def _by_rows(vectors: pd.Series, work) -> pd.Series:
@@ -40,8 +37,13 @@ def _by_rows(vectors: pd.Series, work) -> pd.Series:
 
 
 def products(vector: Column, rows: Sequence[Sequence[float]]) -> Column:
-    """ARRAY<DOUBLE> of the dot products with every row of the matrix."""
-    matrix = small_matrix(rows)
+    """ARRAY<DOUBLE> of the dot products with every row of the matrix, block after block."""
+    step = block_rows(len(rows[0]) if len(rows) else 1)
+    return F.concat(*[_block_products(vector, rows[start : start + step]) for start in range(0, max(1, len(rows)), step)])
+
+
+def _block_products(vector: Column, rows: Sequence[Sequence[float]]) -> Column:
+    matrix = np.asarray(rows, dtype="float64")
 
     @F.pandas_udf("array<double>")
     def multiply(vectors: pd.Series) -> pd.Series:
@@ -52,7 +54,7 @@ def products(vector: Column, rows: Sequence[Sequence[float]]) -> Column:
 
 def dot_with(vector: Column, other: Sequence[float]) -> Column:
     """Dot product with one vector."""
-    fixed = small_matrix([other])[0]
+    fixed = np.asarray(other, dtype="float64")
 
     @F.pandas_udf("double")
     def multiply(vectors: pd.Series) -> pd.Series:
@@ -77,7 +79,7 @@ def unit_rows(vector: Column) -> Column:
 
 def nearest_row(vector: Column, rows: Sequence[Sequence[float]], numbers: Sequence[int]) -> Column:
     """STRUCT of ``cluster`` (the number of the nearest row, the first of equals) and its Euclidean ``distance``."""
-    matrix, names = small_matrix(rows), np.asarray(numbers, dtype="int32")
+    matrix, names = np.asarray(rows, dtype="float64"), np.asarray(numbers, dtype="int32")
 
     @F.pandas_udf("cluster int, distance double")
     def nearest(vectors: pd.Series) -> pd.DataFrame:
