@@ -42,14 +42,6 @@ def update_log(spark, rows, part, transform, keys: list[str]) -> DataFrame:
     return jobs.latest(spark.read.parquet(out), keys)
 
 
-def append_log(spark, rows, part, transform) -> DataFrame:
-    """Run an aggregation in append mode and read what it emitted."""
-    out, checkpoint = new_folder(spark, "stream-out"), new_folder(spark, "stream-state")
-    write = jobs.batch_writer(out)
-    replay(spark, rows, part, lambda stream: jobs.run(transform(stream), write, checkpoint))
-    return spark.read.parquet(out).drop("batch_id")
-
-
 def timed_lines(spark, folder):
     lines = fx.fixture(spark, folder, fx.ACCESS_LINES)
     return lines.withColumn("ts", F.col("ts").cast("timestamp"))
@@ -71,8 +63,7 @@ def _windows(source: str, length: int, slide: int) -> str:
     return f"""w AS (SELECT *, make_timestamp(start_s * 1000000) AS start, make_timestamp((start_s + {length}) * 1000000) AS "end"
 FROM (SELECT *, unnest([{starts}]) AS start_s
       FROM (SELECT *, (epoch_us(ts) // 1000000 // {slide} * {slide})::BIGINT AS s FROM {source}))
-WHERE epoch_us(ts) < (start_s + {length}) * 1000000),
-closed AS (SELECT * FROM w WHERE "end" <= (SELECT max(ts) FROM {source}) - INTERVAL 1 HOUR)"""
+WHERE epoch_us(ts) < (start_s + {length}) * 1000000)"""
 
 
 _SHOWN = """strftime(start, '%Y-%m-%d %H:%M:%S') AS start, strftime("end", '%Y-%m-%d %H:%M:%S') AS "end\""""
@@ -107,43 +98,45 @@ def stream_running_count(spark, folder):
 
 
 @query("stream_window_count", f"""
-WITH {_LOGS}, {_windows('logs', 30, 20)} SELECT {_SHOWN}, ip_address, count(*) AS cnt FROM closed GROUP BY ALL""")
+WITH {_LOGS}, {_windows('logs', 30, 20)} SELECT {_SHOWN}, ip_address, count(*) AS cnt FROM w GROUP BY ALL""")
 def stream_window_count(spark, folder):
-    lines = timed_lines(spark, folder)
-    return shown(append_log(spark, lines, _TEN_DAYS, lambda s: jobs.stream_window_count(parsed(s), delay=_DELAY)))
+    lines, keys = timed_lines(spark, folder), ["start", "end", "ip_address"]
+    return shown(update_log(spark, lines, _TEN_DAYS, lambda s: jobs.stream_window_count(parsed(s), delay=_DELAY), keys))
 
 
 @query("stream_value_window", f"""
-WITH {_LOGS}, {_windows('logs', 30, 20)} SELECT {_SHOWN}, endpoint, count(*) AS cnt FROM closed GROUP BY ALL""")
+WITH {_LOGS}, {_windows('logs', 30, 20)} SELECT {_SHOWN}, endpoint, count(*) AS cnt FROM w GROUP BY ALL""")
 def stream_value_window(spark, folder):
     lines = timed_lines(spark, folder)
-    return shown(append_log(
-        spark, lines, _TEN_DAYS, lambda s: jobs.stream_value_window(parsed(s), "endpoint", delay=_DELAY)
+    return shown(update_log(
+        spark, lines, _TEN_DAYS, lambda s: jobs.stream_value_window(parsed(s), "endpoint", delay=_DELAY),
+        ["start", "end", "endpoint"],
     ))
 
 
 @query("stream_count_window", f"""
-WITH {_windows('events', 30, 20)} SELECT {_SHOWN}, count(*) AS cnt FROM closed GROUP BY ALL""")
+WITH {_windows('events', 30, 20)} SELECT {_SHOWN}, count(*) AS cnt FROM w GROUP BY ALL""")
 def stream_count_window(spark, folder):
     events = table(spark, folder, "events").withColumn("ts", F.col("ts").cast("timestamp"))
-    return shown(append_log(spark, events, _TEN_DAYS, lambda s: jobs.stream_count_window(s, delay=_DELAY)))
+    transform, keys = lambda s: jobs.stream_count_window(s, delay=_DELAY), ["start", "end"]
+    return shown(update_log(spark, events, _TEN_DAYS, transform, keys))
 
 
 @query("stream_sum_count_join", f"""
 WITH {_LOGS}, {_windows('logs', 10, 10)}
-SELECT {_SHOWN}, ip_address, sum(content_size)::BIGINT AS bytes, count(*) AS requests FROM closed GROUP BY ALL""")
+SELECT {_SHOWN}, ip_address, sum(content_size)::BIGINT AS bytes, count(*) AS requests FROM w GROUP BY ALL""")
 def stream_sum_count_join(spark, folder):
-    lines = timed_lines(spark, folder)
-    return shown(append_log(spark, lines, _TEN_DAYS, lambda s: jobs.sum_and_count(parsed(s), delay=_DELAY)))
+    lines, keys = timed_lines(spark, folder), ["start", "end", "ip_address"]
+    return shown(update_log(spark, lines, _TEN_DAYS, lambda s: jobs.sum_and_count(parsed(s), delay=_DELAY), keys))
 
 
 @query("stream_window_sql", f"""
 WITH {_LOGS}, {_windows('logs', 20, 10)},
 content AS (SELECT start, "end", sum(content_size) // count(*) AS a, min(content_size) AS b, max(content_size) AS c
-            FROM closed GROUP BY ALL),
-status AS (SELECT start, "end", response_code AS k, count(*) AS total FROM closed GROUP BY ALL),
-ips AS (SELECT start, "end", ip_address AS k, count(*) AS total FROM closed GROUP BY ALL HAVING count(*) > 10),
-hits AS (SELECT start, "end", endpoint AS k, count(*) AS total FROM closed GROUP BY ALL),
+            FROM w GROUP BY ALL),
+status AS (SELECT start, "end", response_code AS k, count(*) AS total FROM w GROUP BY ALL),
+ips AS (SELECT start, "end", ip_address AS k, count(*) AS total FROM w GROUP BY ALL HAVING count(*) > 10),
+hits AS (SELECT start, "end", endpoint AS k, count(*) AS total FROM w GROUP BY ALL),
 points AS (SELECT * FROM hits QUALIFY row_number() OVER (PARTITION BY start, "end" ORDER BY total DESC, k) <= 10),
 reports AS (
   SELECT 'content' AS report, start, "end", concat_ws('/', a, b, c) AS "key", 0 AS total FROM content
@@ -161,9 +154,9 @@ def stream_window_sql(spark, folder):
         "content": F.concat_ws("/", "avg_size", "min_size", "max_size"), "status": F.col("response_code").cast("string"),
         "ips": F.col("ip_address"), "endpoints": F.col("endpoint"),
     }
-    result = None
+    result, reports = None, jobs.read_reports(spark, out)
     for name, key in keys.items():
-        report = jobs.read_report(spark, out, name)
+        report = reports[name]
         total = F.lit(0).cast("bigint") if name == "content" else F.col("total")
         rows = report.select(F.lit(name).alias("report"), "start", "end", key.alias("key"), total.alias("total"))
         result = rows if result is None else result.unionByName(rows)

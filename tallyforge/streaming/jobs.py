@@ -15,6 +15,7 @@ from tallyforge.functions.adlogs import read_ad_log
 from tallyforge.operators import access_log
 from tallyforge.operators.counting import topk_per_group, word_count
 from tallyforge.operators.cube import AD_DIMENSIONS, AD_FIXED, ad_cube
+from tallyforge.plans.durable import materialize
 from tallyforge.sources.sinks import replace_batch, sink_counter_upsert
 
 # Batch intervals, and length and step of the two kinds of window.
@@ -140,33 +141,15 @@ def window_reports(measures: DataFrame) -> dict[str, DataFrame]:
 def stream_window_sql(
     logs: DataFrame, path: str, checkpoint: str, ts: str = "ts", delay: str = "1 hour", **run_options
 ) -> StreamingQuery:
-    """Closed windows as they come, each with its four reports, in folders ``path/<report>``."""
+    """The measures behind the reports as they change, below ``path``; `read_reports` makes the reports of them."""
+    return run(window_measures(logs, ts, delay), batch_writer(path), checkpoint, mode="update", **run_options)
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            if not batch.isEmpty():
-                for name, report in window_reports(batch).items():
-                    batch_writer(f"{path}/{name}")(report, batch_id)
-        finally:
-            batch.unpersist()
-
-    return run(window_measures(logs, ts, delay), write, checkpoint, **run_options)
-
-
-# A report may be empty so far, so its columns are named here.
-_REPORT_COLUMNS = {
-    "content": "avg_size BIGINT, min_size BIGINT, max_size BIGINT",
-    "status": "response_code INT, total BIGINT",
-    "ips": "ip_address STRING, total BIGINT",
-    "endpoints": "endpoint STRING, total BIGINT",
-}
-
-
-def read_report(spark: SparkSession, path: str, name: str) -> DataFrame:
-    """One report of all closed windows so far."""
-    schema = f"start TIMESTAMP, end TIMESTAMP, {_REPORT_COLUMNS[name]}, batch_id BIGINT"
-    return spark.read.schema(schema).parquet(f"{path}/{name}").drop("batch_id")
+
+def read_reports(spark: SparkSession, path: str) -> dict[str, DataFrame]:
+    """The four reports of all windows so far, those that are still open included."""
+    updates = spark.read.parquet(path)
+    measures = latest(updates, ["start", "end", "ip_address", "endpoint", "response_code"])
+    return window_reports(materialize(measures, "window-measures"))
 
 
 def stream_ad_cube(
