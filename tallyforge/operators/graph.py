@@ -37,6 +37,7 @@ def cooccurrence(doc_topics: DataFrame, doc: str = "doc", topic: str = "topic",
         "document-topics",
     )
     sizes = repeats.groupBy("doc").agg(F.count(F.lit(1)).alias("topics")).where(F.col("topics") > block)
+    sizes = materialize(sizes, "large-documents")  # so that the join can split such a document
     blocks = F.coalesce(F.ceil(F.col("topics") / block).cast("int"), F.lit(1))
     placed = repeats.join(sizes, "doc", "left").select(
         "doc", "topic", blocks.alias("blocks"), F.pmod(F.xxhash64("topic"), blocks).cast("int").alias("own")
@@ -234,6 +235,7 @@ def triangle_count(vertices: DataFrame, edges: DataFrame) -> DataFrame:
 
 def avg_clustering_coef(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     """Mean over all vertices of triangles / possible triangles; 0 for a vertex with fewer than two edge ends."""
+    edges = materialize(edges, "edges")
     d = F.col("degree")
     possible = d * (d - 1) / 2.0
     measured = triangle_count(vertices, edges).join(degrees(edges), "id", "left")
