@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyforge.llm.vectors import comparable, matrix
@@ -55,6 +55,27 @@ def _assigned(classes: DataFrame, pivots: np.ndarray) -> DataFrame:
     return classes.select("rep", "weight", "vec").mapInArrow(run, schema)
 
 
+def _goes(vectors: np.ndarray, pivots: np.ndarray, inner: np.ndarray, outer: np.ndarray, reach: float) -> np.ndarray:
+    """Which cells, in columns, each vector visits."""
+    angles = _angles(vectors, pivots)
+    near = angles.min(axis=1, keepdims=True) + 2 * reach + _SLACK
+    return (angles <= near) & (angles <= outer + reach + _SLACK) & (angles >= inner - reach - _SLACK)
+
+
+def _visit_counts(assigned: DataFrame, pivots: np.ndarray, inner: np.ndarray, outer: np.ndarray, reach: float) -> DataFrame:
+    """(cell, n): the number of visitors of each cell; a task adds up its own before the shuffle."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(len(pivots), dtype=np.int64)
+        for batch in batches:
+            if batch.num_rows:
+                counts += _goes(matrix(batch.column(0), pivots.shape[1]), pivots, inner, outer, reach).sum(axis=0)
+        cell = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(cell.astype(np.int32)), pa.array(counts[cell])], ["cell", "n"])
+
+    return assigned.select("vec").mapInArrow(run, "cell int, n bigint").groupBy("cell").agg(F.sum("n").alias("n"))
+
+
 def _visits(assigned: DataFrame, pivots: np.ndarray, inner: np.ndarray, outer: np.ndarray, reach: float) -> DataFrame:
     """(rep, weight, vec, cell): every vector in each cell that may hold a neighbour of it, its own included."""
 
@@ -62,10 +83,7 @@ def _visits(assigned: DataFrame, pivots: np.ndarray, inner: np.ndarray, outer: n
         for batch in batches:
             if not batch.num_rows:
                 continue
-            angles = _angles(matrix(batch.column(2), pivots.shape[1]), pivots)
-            near = angles.min(axis=1, keepdims=True) + 2 * reach + _SLACK
-            goes = (angles <= near) & (angles <= outer + reach + _SLACK) & (angles >= inner - reach - _SLACK)
-            row, cell = goes.nonzero()
+            row, cell = _goes(matrix(batch.column(2), pivots.shape[1]), pivots, inner, outer, reach).nonzero()
             # A row may go to many cells: some rows at a time.
             for start in range(0, len(row), 10_000):
                 some = slice(start, start + 10_000)
@@ -121,14 +139,20 @@ def range_join(classes: DataFrame, least: float = LEAST_COSINE) -> DataFrame:
     for row in stats:
         inner[row["cell"]], outer[row["cell"]] = row["inner"], row["outer"]
         pieces[row["cell"]] = math.ceil(row["n"] / MEMBERS)
-    parts = max(1, math.ceil(count / VISITORS), min(2, spark.sparkContext.defaultParallelism // len(pivots)))
-    of_cell = F.element_at(F.array(*map(F.lit, pieces)), F.col("cell") + 1)
+    # Blocks of visitors follow the visitors of each cell, so that members are copied as often as their own cell asks for.
+    least_parts = max(1, min(2, spark.sparkContext.defaultParallelism // len(pivots)))
+    parts = [least_parts] * len(pivots)
+    for row in _visit_counts(assigned, pivots, inner, outer, reach).collect():
+        parts[row["cell"]] = max(least_parts, math.ceil(row["n"] / VISITORS))
+
+    def of_cell(numbers: list[int]) -> Column:
+        return F.element_at(F.array(*map(F.lit, numbers)), F.col("cell") + 1)
 
-    members = assigned.select("rep", "weight", "vec", "cell", F.pmod(F.xxhash64("rep"), of_cell).cast("int").alias("piece"))
-    members = members.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    members = assigned.select("rep", "weight", "vec", "cell", F.pmod(F.xxhash64("rep"), of_cell(pieces)).cast("int").alias("piece"))
+    members = members.withColumn("part", F.explode(F.sequence(F.lit(0), of_cell(parts) - 1)))
     visitors = _visits(assigned, pivots, inner, outer, reach)
-    visitors = visitors.withColumn("part", F.pmod(F.xxhash64("rep"), F.lit(parts)).cast("int"))
-    visitors = visitors.withColumn("piece", F.explode(F.sequence(F.lit(0), of_cell - 1)))
+    visitors = visitors.withColumn("part", F.pmod(F.xxhash64("rep"), of_cell(parts)).cast("int"))
+    visitors = visitors.withColumn("piece", F.explode(F.sequence(F.lit(0), of_cell(pieces) - 1)))
 
     def join(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
