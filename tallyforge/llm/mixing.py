@@ -15,6 +15,7 @@ within a range.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -27,13 +28,18 @@ from tallyforge.plans.durable import materialize
 WEIGHTS, SHARE, MOST = (5, 2, 1), 1.5, 2
 #: Words of a block.
 BLOCK = 2048
-#: Rows of a range of a running total, about.
+#: Rows of a range of a running total, at least; with more rows there are as many ranges as rows in each.
 RANGE_ROWS = 2_000
 #: Golden-ratio points are multiples of this number modulo 2^31.
 _STEP, _POINTS = 1_327_217_885, 1 << 31
 _SEED = 20_240_229
 
 
+def _range_rows(rows: int) -> int:
+    """Rows of a range: neither the ranges of a key nor the rows of a range grow faster than the root of all rows."""
+    return max(RANGE_ROWS, math.isqrt(rows))
+
+
 def _running_total(df: DataFrame, key: str, part: Column, order: Sequence[str], value: str, out: str) -> DataFrame:
     """Add ``out``: the sum of ``value`` over the rows of the key that stand before.
 
@@ -106,7 +112,7 @@ def schedule(targets: DataFrame, block: int) -> DataFrame:
     served = slots.withColumn("cell", F.floor(F.col("point") / width)).join(cells, "cell")
     served = served.where((F.col("point") >= F.col("low")) & (F.col("point") < F.col("high")))
     served = served.select("slot", "place", "_goal", "blocks", F.lit(1).cast("bigint").alias("_one"))
-    ranked = _running_total(served, "place", F.floor(F.col("slot") / RANGE_ROWS), ["slot"], "_one", "rank")
+    ranked = _running_total(served, "place", F.floor(F.col("slot") / _range_rows(count)), ["slot"], "_one", "rank")
     ranked = ranked.where(F.col("rank") < F.col("blocks")).select("slot", "place", "rank", "_goal")
     # What the points have left short.
     had = ranked.groupBy(F.col("place").alias("_of")).agg(F.count(F.lit(1)).alias("_had"))
@@ -140,7 +146,8 @@ def mix(
 
     named = targets.select(F.col("source").alias("_source"), "place", "source_size", "target")
     rows = sizes.join(named, F.col("source").eqNullSafe(F.col("_source")))
-    ranges = max(1, sizes.count() // RANGE_ROWS)
+    number = sizes.count()
+    ranges = max(1, number // _range_rows(number))
     part = F.floor((F.col("_hash") / F.lit(2.0**64) + 0.5) * ranges)
     order = ["_hash", "_id", "size", *[f"_tag{n}" for n in range(len(tag))]]
     rows = _running_total(rows, "place", part, order, "size", "start")
