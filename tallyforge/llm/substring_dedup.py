@@ -300,7 +300,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     # Written, so that the join can split a passage that very many texts have.
     masks = materialize(masks.toDF("_anchor", "_passage", "mask"), "repeats-masks")
     marked = found.join(masks, (F.col("anchor") == F.col("_anchor")) & (F.col("passage") == F.col("_passage")))
-    marked = marked.groupBy("id", "th").agg(F.collect_list(F.struct("first", "mask")).alias("marks")).toDF("_id", "_th", "marks")
+    # A set: however often a text is repeated under one id, its marks are no more than its passages.
+    marked = marked.groupBy("id", "th").agg(F.collect_set(F.struct("first", "mask")).alias("marks")).toDF("_id", "_th", "marks")
     joined = rows.join(marked, same, "left").select("id", "text", "marks.first", "marks.mask")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -277,5 +277,6 @@ def test_pipeline(spark, tables):
     for name, stage in corpus_pipeline.STAGES[:-1]:
         out = stage(spark, docs, tables)
         assert out.columns == docs.columns, name
+        assert out.where("n_chars <> char_length(text)").count() == 0, name
         docs = out
     assert set(corpus_pipeline.STAGES[-1][1](spark, docs, tables).columns) == {"doc_id", "n_tokens", "ids_sha256", "decoded_sha256"}
