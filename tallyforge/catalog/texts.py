@@ -211,7 +211,7 @@ def topk_per_group(spark, folder):
     return top.select("concept", "vec_id", rounded("weight").alias("weight"), "rank")
 
 
-def decomposition(spark, folder, k=10):
+def decomposition(spark, folder, k=lsa.RANK):
     tf = materialize(tfidf.term_freq(fx.document_terms(spark, folder)))
     vocab = materialize(tfidf.vocabulary_of(tf, SIZE))
     return lsa.lsa_svd(tfidf.weigh(tf, vocab, SIZE), vocab.count(), k), vocab

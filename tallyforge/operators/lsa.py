@@ -5,11 +5,12 @@ A factor matrix is a DataFrame of an id and a row ``vec ARRAY<DOUBLE>``; documen
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.linalg import SparseVector, VectorUDT
-from pyspark.mllib.linalg.distributed import IndexedRowMatrix
+import numpy as np
+import pyarrow as pa
+from pyspark.mllib.linalg.distributed import RowMatrix
 from pyspark.mllib.util import MLUtils
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 from tallyforge.functions.matrices import dot_with, unit_rows
 from tallyforge.functions.vectors import array_literal, scale
 from tallyforge.operators.counting import topk_per_group
+from tallyforge.plans.durable import materialize, new_folder
 
 # Default rank, and the length of a result list.
 RANK, TOP = 100, 10
@@ -35,32 +37,58 @@ class Decomposition:
         return array_literal(self.s)
 
 
-def document_vectors(weights: DataFrame, size: int, doc: str = "doc_id") -> DataFrame:
-    """One sparse vector per document; it is as long as the vocabulary at most."""
-    @F.udf(VectorUDT())
-    def sparse(entries):
-        return SparseVector(size, [e["idx"] for e in entries], [e["weight"] for e in entries])
-
+def document_entries(weights: DataFrame, doc: str = "doc_id") -> DataFrame:
+    """(doc_id, entries): the terms and weights of each document by term; as many as the vocabulary at most."""
     rows = weights.groupBy(doc).agg(F.sort_array(F.collect_list(F.struct("idx", "weight"))).alias("entries"))
-    return rows.select(F.col(doc).cast("bigint").alias("doc_id"), sparse("entries").alias("vec"))
+    return rows.select(F.col(doc).cast("bigint").alias("doc_id"), "entries")
+
+
+def document_vectors(entries: DataFrame, size: int) -> DataFrame:
+    """(features): one sparse vector per document, by way of the text format of such vectors, which numbers terms from 1."""
+    pairs = F.transform("entries", lambda e: F.concat_ws(":", (e["idx"] + 1).cast("string"), e["weight"].cast("string")))
+    path = new_folder(entries.sparkSession, "lsa-vectors")
+    entries.select(F.concat(F.lit("0 "), F.array_join(pairs, " "))).write.text(path)
+    return entries.sparkSession.read.format("libsvm").option("numFeatures", size).load(path).select("features")
+
+
+def document_rows(entries: DataFrame, v: np.ndarray, s: np.ndarray) -> DataFrame:
+    """(doc_id, vec): entries times the term factor, divided by the singular values, in Arrow batches."""
+    shared = entries.sparkSession.sparkContext.broadcast(v / s)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        factor = shared.value
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            lists = batch.column(1)
+            flat = lists.flatten()
+            idx, weight = flat.field("idx").to_numpy(), flat.field("weight").to_numpy(zero_copy_only=False)
+            ends = np.cumsum(lists.value_lengths().to_numpy())
+            out = np.empty((batch.num_rows, factor.shape[1]))
+            for row, (start, end) in enumerate(zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)):
+                out[row] = weight[start:end] @ factor[idx[start:end]]
+            offsets = pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * factor.shape[1])
+            rows = pa.ListArray.from_arrays(offsets, pa.array(out.ravel()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), rows], ["doc_id", "vec"])
+
+    return entries.select("doc_id", "entries").mapInArrow(run, "doc_id bigint, vec array<double>")
 
 
 def lsa_svd(weights: DataFrame, size: int, k: int = RANK, doc: str = "doc_id") -> Decomposition:
     """Rank-k decomposition of the document-term matrix.
 
-    ``size`` is the vocabulary size. The term factor (size x k numbers) is the only part on the driver; keep
-    ``size`` up to about 50,000 and k up to about 100.
+    ``size`` is the vocabulary size. The term factor (size x k numbers) is all that is on the driver and sent to the
+    executors, where it gives the document rows; keep ``size`` up to about 50,000 and k up to about 100.
     """
     spark = weights.sparkSession
-    rows = MLUtils.convertVectorColumnsFromML(document_vectors(weights, size, doc), "vec").persist()
-    svd = IndexedRowMatrix(rows).computeSVD(k, computeU=True)
-    u = svd.U.rows.map(lambda r: (int(r.index), [float(x) for x in r.vector.toArray()]))
-    v = svd.V.toArray()
-    v_rows = [(i, [float(x) for x in v[i]]) for i in range(v.shape[0])]
+    entries = materialize(document_entries(weights, doc), "lsa-entries")
+    vectors = MLUtils.convertVectorColumnsFromML(document_vectors(entries, size), "features").persist()
+    svd = RowMatrix(vectors, numCols=size).computeSVD(k, computeU=False)
+    vectors.unpersist()
+    v, s = svd.V.toArray(), svd.s.toArray()
+    v_rows = [(i, row) for i, row in enumerate(v.tolist())]
     return Decomposition(
-        s=[float(x) for x in svd.s.toArray()],
-        u=spark.createDataFrame(u, "doc_id bigint, vec array<double>"),
-        v=spark.createDataFrame(v_rows, "idx int, vec array<double>"),
+        s=s.tolist(), u=document_rows(entries, v, s), v=spark.createDataFrame(v_rows, "idx int, vec array<double>")
     )
 
 
