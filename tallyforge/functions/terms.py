@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyforge.functions.stopwords import ENGLISH_STOPWORDS
+from tallyforge.plans.durable import materialize
 from tallyforge.plans.layout import unnest
 
 # Fixed value: a word is a run of letters, digits and apostrophes.
@@ -41,14 +42,15 @@ def term_rows(
 ) -> DataFrame:
     """One row per term of each text, in lower case.
 
-    ``stopwords`` is a word list or a DataFrame with column ``word``; ``lemmas`` maps ``word`` to ``lemma``.
+    ``stopwords`` is a word list or a DataFrame with column ``word``; ``lemmas`` maps ``word`` to ``lemma``. Word tables are
+    written without repeats first, so that adaptive execution can split frequent words in the joins.
     """
     rows = unnest(df, keep, F.split(F.col(text), WORD_BREAK), "word")
     if lemmas is not None:
-        base = lemmas.select("word", "lemma").dropDuplicates(["word"])
+        base = materialize(lemmas.groupBy("word").agg(F.min("lemma").alias("lemma")), "lemmas")
         rows = rows.join(base, "word", "left").select(*keep, F.coalesce("lemma", "word").alias("word"))
     if isinstance(stopwords, DataFrame):
-        rows = rows.join(stopwords.select("word").distinct(), "word", "left_anti")
+        rows = rows.join(materialize(stopwords.select("word").distinct(), "stopwords"), "word", "left_anti")
         stopwords = ()
     banned = list(stopwords)
     word = F.col("word")

@@ -17,6 +17,9 @@ def build_session(app: str = "tallyforge", master: str | None = None, **conf: ob
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # State of streams lies outside the heap, so that it may outgrow an executor's memory.
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         "spark.sql.session.timeZone": "UTC",
     }
     settings.update({name.replace("__", "."): value for name, value in conf.items()})

@@ -166,6 +166,16 @@ def test_onehot_positions(spark):
     assert row.features[10:] == [2.0, -1.0] and row.label == 2.0
 
 
+def test_onehot_of_nulls_and_nothing(spark):
+    rows = spark.createDataFrame([(1, "b", "x"), (2, None, "x"), (3, "a", "y"), (4, "b", None)], "n int, kind string, `_value_0` string")
+    found = {r.n: r.features for r in features.onehot_encode(rows, ["n"], ["kind", "_value_0"], keep=["n"]).collect()}
+    assert found == {1: [1, 0, 1, 1, 0], 2: [2, 0, 0, 1, 0], 3: [3, 1, 0, 0, 1], 4: [4, 0, 1, 0, 0]}
+    assert features.onehot_encode(rows.limit(0), ["n"], ["kind"]).count() == 0
+    assert features.onehot_encode(rows.where("n = 2"), ["n"], ["kind"]).first().features == [2.0]
+    many = spark.range(0, 5000, numPartitions=4).select(((F.col("id") * 7919) % 5000).alias("v"))
+    assert features.category_numbers(many, "v").where("value <> place").count() == 0
+
+
 def test_unit_of_zero_is_null(spark):
     row = spark.range(1).select(matrices.unit_rows(F.array(F.lit(0.0), F.lit(0.0))).alias("z"), matrices.unit_rows(F.array(F.lit(3.0), F.lit(4.0))).alias("u"))
     assert row.first().z is None and row.first().u == [0.6, 0.8]
