@@ -127,18 +127,23 @@ def schedule(targets: DataFrame, block: int) -> DataFrame:
 def mix(
     docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text",
     weights: Sequence[float] = WEIGHTS, share: float = SHARE, most: int = MOST, block: int = BLOCK, tag: Sequence[str] = (),
+    spread: str | None = None,
 ) -> DataFrame:
     """(id, size, source_size, target, taken) of every row, and the columns ``tag``.
 
     ``size`` counts words, 0 for NULL, ``target`` is that of the row's source and ``taken`` the words of the row in the mix,
     at most ``most`` times its size. Sources are ordered by code point with NULL, which is a source too, last. The result
     depends on the rows alone, not on their order; rows with equal id, size and source share one place in the shuffle and so
-    may stand in either order. Repeated rows and rows with a NULL id count each. Empty texts take nothing; an empty table
+    may stand in either order. Repeated rows and rows with a NULL id count each; the latter are shuffled by the column
+    ``spread`` if it is given, since they would stand at one place otherwise. Empty texts take nothing; an empty table
     gives an empty result; other columns of ``docs`` are not looked at.
     """
+    place = F.xxhash64(F.col(id_col), F.lit(_SEED))
+    if spread is not None:
+        place = F.when(F.col(id_col).isNull(), F.xxhash64(F.col(spread), F.lit(_SEED))).otherwise(place)
     sizes = docs.select(
         F.col(id_col).alias("_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"),
-        F.xxhash64(F.col(id_col), F.lit(_SEED)).alias("_hash"), *[F.col(c).alias(f"_tag{n}") for n, c in enumerate(tag)],
+        place.alias("_hash"), *[F.col(c).alias(f"_tag{n}") for n, c in enumerate(tag)],
     )
     sizes = materialize(sizes, "mix-sizes")
     targets = materialize(source_targets(sizes, weights, share, most), "mix-targets")
@@ -173,14 +178,15 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", source_col: str = "
     """The mix as whole documents: each row as often as the words taken make it up, rounded.
 
     Only rows at the end of a source's target are taken in part, so rounding moves less than one document per source. Rows
-    without words, and with a NULL id, which can't be followed, are left out. All columns stay.
+    without words are left out. Rows with a NULL or a repeated id count each, by their own text and source. All columns stay.
     """
-    found = mix(docs.where(F.col(id_col).isNotNull()), id_col, source_col, text_col)
-    copies = found.where(F.col("size") > 0).groupBy(F.col(id_col).alias("_id")).agg(
-        F.round(F.sum("taken") / F.sum("size")).cast("int").alias("_copies")
-    ).where(F.col("_copies") > 0)
     # Columns go by place, so that names in ``docs`` can't clash with those made here.
     names = [f"_c{n}" for n in range(len(docs.columns))]
-    rows = docs.toDF(*names).join(copies, F.col(names[docs.columns.index(id_col)]) == F.col("_id"))
-    rows = rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-    return rows.select(*names).toDF(*docs.columns)
+    key, source, text = (names[docs.columns.index(c)] for c in (id_col, source_col, text_col))
+    # Written with a number, by which the copies find their row whatever its id.
+    rows = materialize(docs.toDF(*names).withColumn("_number", F.monotonically_increasing_id()), "mix-docs")
+    found = mix(rows, key, source, text, tag=["_number"], spread=text)
+    copies = found.where(F.col("size") > 0).select("_number", F.round(F.col("taken") / F.col("size")).cast("int").alias("_copies"))
+    copies = materialize(copies.where(F.col("_copies") > 0), "mix-copies")
+    out = rows.join(copies, "_number").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+    return out.select(*names).toDF(*docs.columns)
