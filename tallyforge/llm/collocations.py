@@ -203,6 +203,14 @@ def phrase_counts(graph: DataFrame) -> DataFrame:
     return grams.groupBy("lang", "gram", "size").agg(F.sum("n").alias("f"))
 
 
+def score_of(a: str, left: str, right: str, n: str) -> Column:
+    """1000 * a * n / (left * right), rounded down. Products may pass 64 bits: decimals of up to 38 digits, divided exactly."""
+    def whole(*columns: str) -> str:
+        return " * ".join(f"cast({c} as decimal(18, 0))" for c in columns)
+
+    return F.expr(f"(cast(1000 * cast({a} as decimal(18, 0)) as decimal(20, 0)) * {whole(n)}) div ({whole(left, right)})")
+
+
 def collocations(
     docs: DataFrame, lang_col: str = "lang", text_col: str = "text", least: int = LEAST, most: int = MOST
 ) -> DataFrame:
@@ -234,10 +242,7 @@ def collocations(
         of = counts.select(F.col("lang").alias("_lang"), F.col("gram").alias("_gram"), F.col("f").alias(out))
         cuts = cuts.join(of, (F.col("lang") == F.col("_lang")) & (F.col(part) == F.col("_gram"))).drop("_lang", "_gram", part)
     cuts = cuts.join(totals, F.col("lang") == F.col("_lang"))
-    # Products may pass 64 bits: decimals of 38 digits, of which the quotient is taken exactly.
-    whole = "cast(a as decimal(19, 0)) * cast(n as decimal(15, 0)) * cast(1000 as decimal(4, 0))"
-    score = F.expr(f"({whole}) div (cast(l as decimal(19, 0)) * cast(r as decimal(19, 0)))")
-    worst = cuts.withColumn("score", score).groupBy("lang", "gram", "a").agg(F.min(F.struct("score", "cut", "l", "r", "n")).alias("worst"))
+    worst = cuts.withColumn("score", score_of("a", "l", "r", "n")).groupBy("lang", "gram", "a").agg(F.min(F.struct("score", "cut", "l", "r", "n")).alias("worst"))
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
     worst = worst.select("lang", F.col("gram").alias("phrase"), "a", "worst.l", "worst.r", "worst.n", "worst.score")
     ranked = worst.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= most)

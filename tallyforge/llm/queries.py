@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyforge.catalog.registry import Query, table
-from tallyforge.llm import ann, bpe, collocations, embed_neardup, language_id, mixing, ranked_search, secret_scan, simhash, substring_dedup, url_filter, warc
+from tallyforge.llm import ann, bpe, bwt_dedup, collocations, embed_neardup, language_id, mixing, ranked_search, secret_scan, simhash, substring_dedup, url_filter, warc
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -80,6 +80,11 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.round_trip(table(spark, folder, "documents"), vocabulary_path())
 
 
+@_query
+def op11_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return bwt_dedup.remove_repeated_bytes(table(spark, folder, "documents")).drop("kept")
+
+
 @_query
 def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
     return collocations.collocations(table(spark, folder, "documents"))

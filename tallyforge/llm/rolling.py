@@ -56,7 +56,7 @@ class Sums:
         """The hashes of all stretches of ``size`` numbers, in order; the same as ``of`` gives."""
         if len(self._sums) <= size:
             return np.empty(0, dtype=np.uint64)
-        return mix((self._sums[size:] - self._sums[:-size]) * self._back[: len(self._sums) - size] + np.uint64(size) * _ODD)
+        return mix((self._sums[size:] - self._sums[:-size]) * self._back[: len(self._sums) - size] + np.uint64(size * int(_ODD) % (1 << 64)))
 
 
 def slices(rows: list[bytes], most: int) -> Iterator[tuple[int, list[bytes]]]:
