@@ -41,7 +41,7 @@ SPAN, STEP = 100, 20
 #: Bytes of a run, by level. Passages have at most 64 windows (a number of 64 bits tells them), so that runs have 37 at least.
 RUNS = (37, 68, SPAN)
 #: Distinct passages of an anchor that go into one bucket; bytes of a bucket and of a shard, about.
-MOST_PASSAGES, BUCKET, SHARD = 4_096, 1_000_000, 125_000
+MOST_PASSAGES, BUCKET, SHARD = 4_096, 500_000, 62_500
 #: Bytes of text that are taken together, and bits of a place in a comparison.
 _BYTES, _PLACE = 500_000, 26
 
@@ -94,7 +94,8 @@ class _Passages:
         self.at = windows[new]
         last = windows[np.concatenate((np.flatnonzero(new)[1:], [len(windows)])) - 1]
         self.size = last + SPAN - self.at
-        self.anchor = runs[place[new]]
+        # The smallest hashes have few leading bits; mixed again, anchors are spread evenly.
+        self.anchor = mix(runs[place[new]])
         self.hash = sums.of(self.at, self.at + self.size)
         self.stretch = np.searchsorted(ends, self.at, side="right")
         begins = np.array([begin for _, begin, _ in some]) - (ends - sizes)

@@ -127,10 +127,13 @@ def _collocations(rows, least, most):
     out = {}
     for lang, counts in f.items():
         cands = {p: a for p, a in counts.items() if len(p) > 1 and a >= least}
+        longest = Counter()
+        for q, b in cands.items():
+            for part in {q[i:j] for i in range(len(q)) for j in range(i + 2, len(q) + 1)} - {q}:
+                longest[part] = max(longest[part], b)
         ranked = []
         for p, a in cands.items():
-            inside = lambda q: any(q[i : i + len(p)] == p for i in range(len(q) - len(p) + 1))
-            if any(len(q) > len(p) and 100 * b >= 100 * a and inside(q) for q, b in cands.items()):
+            if 100 * longest[p] >= 100 * a:
                 continue
             score, k = min(((1000 * a * n[lang]) // (counts[p[:k]] * counts[p[k:]]), k) for k in range(1, len(p)))
             ranked.append((-score, -a, " ".join(p).encode(), counts[p[:k]], counts[p[k:]], n[lang]))
