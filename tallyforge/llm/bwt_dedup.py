@@ -316,18 +316,16 @@ def _search_bucket(table: pa.Table) -> pa.Table:
     return table.select(["id", "doc", "place"]).append_column("mask", pa.array(masks.view(np.int64)))
 
 
-def _cut_text(text: bytes, marks: list[dict]) -> tuple[int, int, bytes]:
-    """(bytes removed, maximal runs of them, what stays) of a text."""
-    firsts = {(m["level"], m["place"]) for m in marks if m["size"] == 0}
+def _cut_text(text: bytes, place: np.ndarray, size: np.ndarray, mask: np.ndarray) -> tuple[int, int, bytes]:
+    """(bytes removed, maximal runs of them, what stays) of a text; a mask of 0 stands for all windows of a passage."""
     change = np.zeros(len(text) + 1, dtype=np.int32)
-    for m in marks:
-        if m["mask"] is not None:
-            windows = np.flatnonzero(np.unpackbits(np.array([m["mask"]], dtype=np.int64).view(np.uint8), bitorder="little")) + m["place"]
-            change[windows] += 1
-            change[windows + SPAN] -= 1
-        elif m["size"] and (m["level"], m["place"]) not in firsts:
-            change[m["place"]] += 1
-            change[m["place"] + m["size"]] -= 1
+    whole = mask == 0
+    np.add.at(change, place[whole], 1)
+    np.add.at(change, place[whole] + size[whole], -1)
+    row, bit = np.unpackbits(mask[~whole].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").nonzero()
+    windows = place[~whole][row] + bit
+    np.add.at(change, windows, 1)
+    np.add.at(change, windows + SPAN, -1)
     gone = np.cumsum(change[:-1]) > 0
     runs = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum()) if len(gone) else 0
     return int(gone.sum()), runs, np.frombuffer(text, dtype=np.uint8)[~gone].tobytes()
@@ -370,13 +368,12 @@ def remove_repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str
         if not more:
             break
 
-    # A set: however often a text is repeated under one id, its marks are those of one.
-    marked = marks.groupBy("id", "doc").agg(
-        F.collect_set(F.struct("level", "place", "size", "mask")).alias("marks"), F.count(F.when(F.col("size") > 0, 1)).alias("met")
-    )
-    occurrences = F.size(F.filter("marks", lambda m: m["size"] > 0))
-    loses = (occurrences > F.size(F.filter("marks", lambda m: m["size"] == 0))) | F.exists("marks", lambda m: m["size"] < 0)
-    marked = marked.where(loses | (F.col("met") > occurrences)).select(F.col("id").alias("_id"), F.col("doc").alias("_doc"), "marks")
+    # However often a text is repeated under one id, its occurrences are those of one. First occurrences keep what no mask names.
+    lost = marks.groupBy("id", "doc", "level", "place").agg(
+        F.max("size").alias("size"), F.min("size").alias("first"), F.max("mask").alias("mask"), F.count(F.when(F.col("size") > 0, 1)).alias("met")
+    ).where((F.col("first") > 0) | F.col("mask").isNotNull() | (F.col("met") > 1))
+    goes = F.when((F.col("first") > 0) | F.col("mask").isNotNull(), F.struct("place", "size", F.coalesce("mask", F.lit(0)).alias("mask")))
+    marked = lost.groupBy(F.col("id").alias("_id"), F.col("doc").alias("_doc")).agg(F.collect_list(goes).alias("marks"))
     marked = materialize(marked, "bwt-marks")
     shared = spark.sparkContext.broadcast(bit_filter(marked, "_doc"))
     schema = f"`{id_col}` {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary"
@@ -400,14 +397,15 @@ def remove_repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = []
-            again, size = batch.column(3).to_pylist(), batch.column(4).to_pylist()
-            for n, (text, marks) in enumerate(zip(texts(batch.column(1)), batch.column(2).to_pylist(), strict=True)):
+            again, size, marks = batch.column(3).to_pylist(), batch.column(4).to_pylist(), batch.column(2)
+            for n, text in enumerate(texts(batch.column(1))):
                 if again[n] and size[n] >= SPAN:
                     found.append((size[n], size[n], 1, b""))
-                elif again[n] or not marks:
+                elif again[n] or not marks[n].is_valid or not len(marks[n]):
                     found.append((len(text), 0, 0, text))
                 else:
-                    found.append((len(text), *_cut_text(text, marks)))
+                    place, length, mask = (c.to_numpy() for c in marks[n].values.flatten())
+                    found.append((len(text), *_cut_text(text, place, length.astype(np.int64), mask)))
             yield out(batch.column(0), found)
 
     # Only texts that may lose something are sent to their marks; equal rows as one.

@@ -119,10 +119,10 @@ def bit_filter(hashes: DataFrame, column: str) -> BitFilter:
     """The filter of a written table of distinct hashes (bigint). At most 2^27 bits come to the driver, whatever it holds."""
     bits = min(_MOST_BITS, max(10, math.ceil(math.log2(_BITS_EACH * max(1, hashes.count())))))
     shift = 64 - bits
-    # The leading bits of a hash name its bit.
-    place = F.shiftrightunsigned(column, shift)
-    one = F.call_function("shiftleft", F.lit(1).cast("bigint"), place.bitwiseAND(F.lit(63)).cast("int"))
-    words = hashes.select(F.shiftright(place, 6).alias("at"), one.alias("bit")).groupBy("at").agg(F.bit_or("bit").alias("bits")).toPandas()
-    table = np.zeros(1 << (bits - 6), dtype=np.int64)
-    table[words["at"].to_numpy(dtype=np.int64)] = words["bits"].to_numpy(dtype=np.int64)
-    return BitFilter(table.view(np.uint8), shift)
+    # The leading bits of a hash name its bit; bits come as bitmaps of 4,096 bytes, of which there are 4,096 at most.
+    place = F.shiftrightunsigned(column, shift) + 1
+    bitmaps = hashes.select(place.alias("place"), F.bitmap_bucket_number(place).alias("bucket")).repartition("bucket").groupBy("bucket")
+    table = np.zeros(max(1 << (bits - 3), 4096), dtype=np.uint8)
+    for bucket, bitmap in bitmaps.agg(F.bitmap_construct_agg(F.bitmap_bit_position("place"))).toLocalIterator():
+        table[(bucket - 1) * 4096 : bucket * 4096] = np.frombuffer(bitmap, dtype=np.uint8)
+    return BitFilter(table, shift)
