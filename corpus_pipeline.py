@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.llm import bpe, language_id, mixing, near_copies, secret_scan
+from tallyforge.llm import bpe, language_id, mixing, secret_scan, simhash
 from tallyforge.llm.queries import vocabulary_path
 from tallyforge.plans.durable import materialize
 
@@ -20,13 +20,15 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (similarity of 5-word shingles 0.8 or more), that with the smallest id."""
-    return near_copies.one_of_each(docs)
+    """One document of each group of near copies (fingerprints of 3-word shingles at most 3 bits apart), that with the smallest id."""
+    return simhash.one_of_each(docs)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with their secrets masked; ``n_chars`` follows the text, and stays where that is NULL."""
     masked = secret_scan.mask_secrets(docs)
+    if "n_chars" not in docs.columns:
+        return masked
     length = F.coalesce(F.char_length("text"), F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
     return masked.withColumn("n_chars", length)
 

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyforge.llm.vectors import comparable, matrix, usual_size
+from tallyforge.llm.vectors import comparable, matrix
 from tallyforge.plans.durable import materialize
 
 #: Rows of a chunk of codes and of a block of queries, at most about; smaller chunks give every core work.
@@ -119,20 +119,37 @@ def nearest(
     """(query_id, rank, vec_id, score): for each row of ``queries`` the ``k`` nearest rows of ``vectors`` with another id.
 
     ``score`` is the Euclidean distance of the vectors as given, in double precision; ties go to the smaller id. NULL ids, and
-    vectors that are NULL, zero, or hold a NULL or a number that is not finite, take no part, nor do vectors of another length
-    than the commonest. A row that is repeated counts once as a neighbour, and once as a query. Fewer than ``k`` rows give
-    shorter results, an empty table an empty one; other columns are not looked at.
+    vectors that are NULL, zero, or hold a NULL or a number that is not finite, take no part. Vectors are compared with those of
+    their own length. An id on several vectors is as far as the nearest of them, on either side. A row that is repeated counts
+    once as a neighbour, and once as a query. Fewer than ``k`` rows give shorter results, an empty table an empty one; other
+    columns are not looked at.
     """
-    spark = vectors.sparkSession
-    kind = vectors.schema[id_col].dataType.simpleString()
-    rows = comparable(vectors, id_col, vector_col)
-    size = usual_size(rows)
-    rows = rows.where(F.size("_vec") == size)
+    rows = materialize(comparable(vectors, id_col, vector_col), "ann-vectors")
+    asked = materialize(comparable(queries, id_col, vector_col), "ann-queries")
+    sizes = [row["size"] for row in asked.select(F.size("_vec").alias("size")).distinct().orderBy("size").collect()]
+    found = None
+    for size in sizes:  # one, in a table of embeddings
+        near = _nearest_of_size(rows.where(F.size("_vec") == size), asked.where(F.size("_vec") == size), size, k)
+        found = near if found is None else found.unionByName(near)
+    if found is None:
+        found = asked.select(F.col("_id").alias("query_id"), F.col("_id").alias("vec_id"), F.lit(0.0).alias("score"))
+    if len(sizes) > 1:  # an id may stand on vectors of several lengths
+        found = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
+    found = found.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id")))
+    return found.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def _nearest_of_size(rows: DataFrame, asked: DataFrame, size: int, k: int) -> DataFrame:
+    """(query_id, vec_id, score) of (_id, _vec) of one length: what can be among the ``k`` nearest of each query."""
+    spark = rows.sparkSession
     # One row per distinct vector, with the ids a result can show: k, and one more, since a query is not its own neighbour.
     firsts = rows.distinct().withColumn("_n", F.row_number().over(Window.partitionBy("_vec").orderBy("_id")))
     firsts = firsts.where(F.col("_n") <= k + 1).groupBy(F.col("_vec").alias("vec"))
-    classes = materialize(firsts.agg(F.min("_id").alias("rep"), F.collect_list("_id").alias("ids")), "ann-classes")
-    asked = comparable(queries, id_col, vector_col).where(F.size("_vec") == size).distinct()
+    # Classes go by number, in the order of their smallest ids, by which ties are told: two vectors may have one id.
+    classes = firsts.agg(F.min("_id").alias("least"), F.collect_list("_id").alias("ids")).orderBy("least", "vec")
+    classes = classes.withColumn("rep", F.monotonically_increasing_id())
+    classes = materialize(classes, "ann-classes")
+    asked = asked.distinct()
     asked = asked.join(classes, F.col("_vec") == F.col("vec")).select(F.col("_id").alias("query_id"), F.col("rep").alias("query"))
     asked = materialize(asked, "ann-asked")
 
@@ -157,7 +174,7 @@ def nearest(
         return _nearest_of_block(left, right, centre, turn, k + 1)
 
     found = dealt.groupBy("chunk", "block").cogroup(posed.groupBy("chunk", "block")).applyInArrow(
-        search, f"query {kind}, rep {kind}, score double"
+        search, "query bigint, rep bigint, score double"
     )
     best = Window.partitionBy("query").orderBy("score", "rep")
     found = found.withColumn("_n", F.row_number().over(best)).where(F.col("_n") <= k + 1).drop("_n")
@@ -166,5 +183,4 @@ def nearest(
     ranked = ranked.withColumn("_n", F.row_number().over(Window.partitionBy("query").orderBy(*order))).where(F.col("_n") <= k + 1)
     ranked = materialize(ranked.drop("_n"), "ann-ranked")
     out = asked.join(ranked, "query").where(F.col("query_id") != F.col("vec_id"))
-    out = out.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(*order)))
-    return out.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return out.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))

@@ -37,7 +37,7 @@ from tallyforge.llm.common import small_batches, sql_type, texts
 from tallyforge.llm.rolling import RANDOM, BitFilter, Counts, Sums, bit_filter, mix
 from tallyforge.plans.durable import materialize
 
-SPAN, STEP = 100, 20
+SPAN, STEP = 100, 25
 #: Bytes of a run, by level. Passages have at most 64 windows (a number of 64 bits tells them), so that runs have 37 at least.
 RUNS = (37, 68, SPAN)
 #: Distinct passages of an anchor that go into one bucket; bytes of a bucket and of a shard, about.
@@ -112,10 +112,11 @@ def _keys(doc: np.ndarray, place: np.ndarray) -> np.ndarray:
 
 
 class _Sought:
-    """What is sought on a level: anchors of several passages, those that have too many, and first occurrences of these passages."""
+    """What is sought on a level: anchors of several passages, those that have too many, first occurrences of these passages,
+    and the texts that hold one that goes into a bucket, and one that is cut further."""
 
-    def __init__(self, anchors: BitFilter, hot: BitFilter, keys: BitFilter):
-        self.anchors, self.hot, self.keys = anchors, hot, keys
+    def __init__(self, anchors: BitFilter, hot: BitFilter, keys: BitFilter, docs: BitFilter, hot_docs: BitFilter):
+        self.anchors, self.hot, self.keys, self.docs, self.hot_docs = anchors, hot, keys, docs, hot_docs
 
     def of(self, passages: _Passages, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The passages that go into buckets, and those that are cut further."""
@@ -125,8 +126,14 @@ class _Sought:
         return found[~hot], found[hot]
 
 
+def _only(rows: list[bytes], passes: np.ndarray) -> list[bytes]:
+    return [row if good else b"" for row, good in zip(rows, passes.tolist(), strict=True)]
+
+
 def _on_level(rows: list[bytes], docs: np.ndarray, sought: list[_Sought], level: int) -> Iterator[_Passages]:
     """The passages of a level: of whole texts, or of what the levels above it cut further."""
+    for above in sought[:level]:
+        rows = _only(rows, above.hot_docs.passes(docs))
     if level == 0:
         for some in _together(_stretches(rows)):
             yield _Passages(some, RUNS[0])
@@ -187,14 +194,18 @@ def _seek(firsts: DataFrame) -> tuple[_Sought, int, bool]:
     too_many = kinds.where(F.col("kinds") > MOST_PASSAGES)
     passages = kinds.agg(F.coalesce(F.sum("kinds"), F.lit(0))).head()[0]
 
+    hot = bit_filter(too_many, "anchor")
+
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             anchor, doc, place = (c.to_numpy() for c in batch.columns)
             kept = anchors.passes(anchor)
-            yield pa.RecordBatch.from_arrays([pa.array(_keys(doc[kept], place[kept]).view(np.int64))], ["key"])
+            columns = [pa.array(_keys(doc[kept], place[kept]).view(np.int64)), pa.array(doc[kept]), pa.array(hot.passes(anchor[kept]))]
+            yield pa.RecordBatch.from_arrays(columns, ["key", "doc", "hot"])
 
-    found = materialize(firsts.select("anchor", "doc", "place").mapInArrow(keys, "key bigint"), "bwt-keys")
-    return _Sought(anchors, bit_filter(too_many, "anchor"), bit_filter(found, "key")), passages, not too_many.isEmpty()
+    found = materialize(firsts.select("anchor", "doc", "place").mapInArrow(keys, "key bigint, doc bigint, hot boolean"), "bwt-keys")
+    docs = [bit_filter(materialize(found.where(F.col("hot") == is_hot).select("doc").distinct(), "bwt-docs"), "doc") for is_hot in (False, True)]
+    return _Sought(anchors, hot, bit_filter(found.select("key"), "key"), *docs), passages, not too_many.isEmpty()
 
 
 def _bytes(rows: DataFrame, sought: list[_Sought], level: int) -> DataFrame:
@@ -205,7 +216,7 @@ def _bytes(rows: DataFrame, sought: list[_Sought], level: int) -> DataFrame:
         sought, sent = shared.value, set()
         for batch in batches:
             docs = batch.column(1).to_numpy()
-            for p in _on_level(texts(batch.column(2)), docs, sought, level):
+            for p in _on_level(_only(texts(batch.column(2)), sought[level].docs.passes(docs)), docs, sought, level):
                 kept = sought[level].of(p, docs)[0]
                 # Rows that are equal are one; a task sends their passages once.
                 places = zip(docs[p.row[kept]].tolist(), p.place[kept].tolist(), strict=True)

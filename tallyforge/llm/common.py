@@ -8,6 +8,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyforge.plans.durable import materialize
+
+#: Rows of (id, hash) that are sent to every task, at most.
+BROADCAST_ROWS = 200_000
 #: A word is a run of characters other than these: the space and U+0009 to U+000D. ``bytes.split()`` cuts at the same.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
@@ -44,3 +48,15 @@ def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBat
 def sql_type(df: DataFrame, column: str) -> str:
     """The type of a column as it is written in a schema string."""
     return df.schema[column].dataType.simpleString()
+
+
+def without(docs: DataFrame, gone: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows of ``docs`` whose id and ``xxhash64`` of the text are not in ``gone`` (id, th); rows with a NULL id stay.
+
+    Few rows that go are sent to every task, so that texts are not shuffled; from ``BROADCAST_ROWS`` on it is a shuffled join.
+    """
+    gone = materialize(gone.select(F.col("id").alias("_gone_id"), F.col("th").alias("_gone_th")), "gone")
+    if gone.count() <= BROADCAST_ROWS:
+        gone = F.broadcast(gone)
+    same = (docs[id_col] == F.col("_gone_id")) & (F.xxhash64(docs[text_col]) == F.col("_gone_th"))
+    return docs.join(gone, same, "left_anti").select(docs.columns)

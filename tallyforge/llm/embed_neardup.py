@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyforge.llm.vectors import comparable, matrix
+from tallyforge.llm.vectors import comparable, matrix, unit_rows
 from tallyforge.operators.graph import connected_components
 from tallyforge.plans.durable import materialize
 
@@ -35,8 +35,7 @@ _SLACK = 1e-6
 
 
 def _angles(vectors: np.ndarray, pivots: np.ndarray) -> np.ndarray:
-    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
-    return np.arccos(np.clip(unit @ pivots.T, -1, 1))
+    return np.arccos(np.clip(unit_rows(vectors) @ pivots.T, -1, 1))
 
 
 def _assigned(classes: DataFrame, pivots: np.ndarray) -> DataFrame:
@@ -99,8 +98,7 @@ def _block_links(members: pa.Table, visitors: pa.Table, size: int, least: float)
     names, others = members.column("rep").to_numpy(), visitors.column("rep").to_numpy()
     weights = visitors.column("weight").to_numpy()
     left, right = (matrix(t.column("vec").combine_chunks(), size) for t in (members, visitors))
-    left = left / np.linalg.norm(left, axis=1, keepdims=True)
-    right = right / np.linalg.norm(right, axis=1, keepdims=True)
+    left, right = unit_rows(left), unit_rows(right)
     label = np.arange(len(others))
     a, b, w = [], [], []
     for start in range(0, len(names), _ROWS):
@@ -130,8 +128,7 @@ def range_join(classes: DataFrame, least: float = LEAST_COSINE) -> DataFrame:
     size, reach = len(first["vec"]), math.acos(least)
     # Any pivots give all links; these are a bounded choice by hash, the same in every run.
     chosen = classes.orderBy(F.xxhash64("rep"), "rep").limit(min(MOST_PIVOTS, max(1, math.ceil(count / CELL)))).select("vec").collect()
-    pivots = np.array([row["vec"] for row in chosen])
-    pivots /= np.linalg.norm(pivots, axis=1, keepdims=True)
+    pivots = unit_rows(np.array([row["vec"] for row in chosen]))
     assigned = materialize(_assigned(classes, pivots), "cells")
     stats = assigned.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.min("angle").alias("inner"), F.max("angle").alias("outer")).collect()
     inner, outer = np.full(len(pivots), math.inf), np.full(len(pivots), -math.inf)

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyforge.llm.common import small_batches, texts
+from tallyforge.llm.common import small_batches, texts, without
 from tallyforge.plans.durable import materialize
 
 LANGUAGES = ("en", "es", "fr", "de")
@@ -231,12 +231,13 @@ def document_evidence(lang_col: str = "lang", source_col: str = "source", text_c
     return [F.col(text_col).alias("text"), F.col(lang_col).alias("declared"), F.col(source_col).alias("host"), none.alias("suffix")]
 
 
-def accepted_documents(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
+def accepted_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the rows whose language can't be determined. Rows with a NULL id can't be told apart and stay.
 
-    Of rows with the same id all go if one is rejected.
+    Of rows with the same id each goes by its own text; equal rows with different declarations or sources go if one is rejected.
+    An empty table gives an empty result; all columns stay.
     """
-    rows = docs.select(id_col, *document_evidence())
-    found = identify(rows, rows.select("text", "declared"), [id_col])
-    rejected = found.where(~F.col("accepted")).select(id_col).distinct()
-    return docs.join(rejected, id_col, "left_anti").select(docs.columns)
+    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("th"), *document_evidence(text_col=text_col))
+    found = identify(rows, rows.select("text", "declared"), ["id", "th"])
+    rejected = found.where(~F.col("accepted") & F.col("id").isNotNull()).select("id", "th").distinct()
+    return without(docs, rejected, id_col, text_col)

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyforge.llm.common import map_batches, sql_type, texts
+from tallyforge.llm.common import map_batches, sql_type, texts, without
 from tallyforge.operators.graph import connected_components
 from tallyforge.plans.durable import materialize
 
@@ -105,16 +105,19 @@ def fingerprints_of(documents: list[bytes], size: int = 3) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3) -> DataFrame:
-    """(id, fp bigint) of every row: ASCII letters lower-cased, shingles of ``size`` words, repeats included.
+    """(id, th bigint, fp bigint) of every row: ASCII letters lower-cased, shingles of ``size`` words, repeats included.
+
+    ``th`` is a hash of the text, which tells rows of one id apart.
 
     A text of fewer words is one shingle; one of no words, and NULL, has the fingerprint zero.
     """
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        fps = fingerprints_of(texts(batch.column(1)), size).view(np.int64)
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps)], [id_col, "fp"])
+        fps = fingerprints_of(texts(batch.column(2)), size).view(np.int64)
+        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fps)], ["id", "th", "fp"])
 
-    return map_batches(docs.select(id_col, text_col), run, f"`{id_col}` {sql_type(docs, id_col)}, fp bigint")
+    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("th"), text_col)
+    return map_batches(rows, run, f"id {sql_type(docs, id_col)}, th bigint, fp bigint")
 
 
 def _flips(low: int, high: int, most: int) -> list[int]:
@@ -209,36 +212,52 @@ def near_links(fps: DataFrame) -> DataFrame:
     return _grouped(fps, depth).groupBy("grp").applyInArrow(run, "a bigint, b bigint")
 
 
+def _classes(rows: DataFrame) -> DataFrame:
+    """(fp, kept): of each fingerprint, the smallest (id, th) that can be reached from it; ``rows`` has (id, th, fp)."""
+    nodes = rows.where(F.col("id").isNotNull()).groupBy("fp").agg(F.min(F.struct("id", "th")).alias("least"))
+    # Fingerprints are nodes by number, since one id may stand on several.
+    nodes = materialize(nodes.withColumn("node", F.monotonically_increasing_id()), "simhash-nodes")
+    links = materialize(near_links(nodes.select("fp")), "simhash-links")
+    left, right = nodes.select(F.col("fp").alias("a"), F.col("node").alias("src")), nodes.select(F.col("fp").alias("b"), F.col("node").alias("dst"))
+    edges = links.join(left, "a").join(right, "b").select("src", "dst")
+    parts = connected_components(nodes.select(F.col("node").alias("id")), edges).withColumnRenamed("id", "node")
+    parts = materialize(nodes.join(parts, "node").select("fp", "least", "component"), "simhash-parts")
+    kept = parts.groupBy("component").agg(F.min("least").alias("kept"))
+    # Written, so that a join with it can split a fingerprint that very many documents have.
+    return materialize(parts.join(kept, "component").select("fp", "kept"), "simhash-classes")
+
+
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3) -> DataFrame:
     """(id, fingerprint, component_id) of every row of ``docs``.
 
     ``fingerprint`` has 16 hexadecimal digits; ``component_id`` is the smallest id that can be reached over fingerprints
     of three or fewer differing bits. Empty, blank and NULL texts have the fingerprint zero, linked like any other.
-    Repeated rows are repeated in the result. A row with a NULL id gets its fingerprint, links nothing and has no
-    component. An empty table gives an empty result; other columns of ``docs`` are not looked at.
+    Repeated rows are repeated in the result, and rows of one id with different texts go by their own fingerprints. A row with a
+    NULL id gets its fingerprint, links nothing and has no component. An empty table gives an empty result; other columns of
+    ``docs`` are not looked at.
     """
-    docs = materialize(fingerprints(docs, id_col, text_col, size).withColumnRenamed(id_col, "_id"), "simhash")
-    # One row per fingerprint, with its smallest id; the ids are the nodes.
-    nodes = docs.where(F.col("_id").isNotNull()).groupBy("fp").agg(F.min("_id").alias("id"))
-    nodes = materialize(nodes, "simhash-nodes")
-    links = materialize(near_links(nodes.select("fp")), "simhash-links")
-    left, right = nodes.toDF("a", "src"), nodes.toDF("b", "dst")
-    edges = links.join(left, "a").join(right, "b").select("src", "dst")
-    parts = connected_components(nodes, edges).withColumnRenamed("component", "component_id")
-    # Written, so that the join below can split a fingerprint that very many documents have.
-    classes = materialize(nodes.join(parts, "id").select("fp", "component_id"), "simhash-classes")
+    rows = materialize(fingerprints(docs, id_col, text_col, size), "simhash")
     fingerprint = F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint")
-    component = F.when(F.col("_id").isNotNull(), F.col("component_id")).alias("component_id")
-    return docs.join(classes, "fp", "left").select(F.col("_id").alias(id_col), fingerprint, component)
+    component = F.when(F.col("id").isNotNull(), F.col("kept.id")).alias("component_id")
+    return rows.join(_classes(rows), "fp", "left").select(F.col("id").alias(id_col), fingerprint, component)
 
 
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3) -> DataFrame:
     """``docs`` without all but one row of each group of near-duplicates: the one with the smallest id stays.
 
-    Rows with a NULL id stay; of rows with the same id and text one stays.
+    Of rows with the same id that are near-duplicates one stays, and one of equal rows. Rows with a NULL id stay. An empty table
+    gives an empty result; all columns stay.
     """
-    found = simhash_components(docs, id_col, text_col)
-    gone = found.where(F.col(id_col) != F.col("component_id")).select(id_col).distinct()
-    left = docs.join(gone, id_col, "left_anti").select(docs.columns)
-    named = F.col(id_col).isNotNull()
-    return left.where(named).dropDuplicates([id_col, text_col]).unionByName(left.where(~named))
+    rows = materialize(fingerprints(docs, id_col, text_col, size), "simhash")
+    found = rows.where(F.col("id").isNotNull()).join(_classes(rows), "fp")
+    gone = found.where((F.col("id") != F.col("kept.id")) | (F.col("th") != F.col("kept.th"))).select("id", "th").distinct()
+    left = without(docs, gone, id_col, text_col)
+    named, place = F.col(id_col).isNotNull(), F.xxhash64(text_col)
+    # Rows that are repeated under one id and text are few or none; only they are grouped.
+    again = rows.where(F.col("id").isNotNull()).groupBy("id", "th").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+    again = materialize(again.select("id", "th"), "simhash-again")
+    if again.isEmpty():
+        return left
+    alone = without(left, again, id_col, text_col)
+    marked = left.where(named).join(again, (F.col(id_col) == again["id"]) & (place == again["th"]), "left_semi")
+    return alone.unionByName(marked.dropDuplicates([id_col, text_col]))

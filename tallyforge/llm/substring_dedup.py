@@ -30,13 +30,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyforge.llm.common import small_batches, sql_type, texts
+from tallyforge.llm.rolling import BitFilter, bit_filter
 from tallyforge.plans.durable import materialize
 
 WINDOW, RUN = 35, 16
 #: Different passages of an anchor that are gathered, and words of a shard, about.
 MOST_PASSAGES, SHARD_WORDS = 3_000, 150_000
-#: Bits of the filter per anchor, and in all at most (as a power of two).
-_BITS_EACH, _MOST_BITS = 16, 27
 #: Bytes of text that are taken together, and bits of a word's place in a comparison.
 _BYTES, _PLACE = 4_000_000, 26
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -107,7 +106,8 @@ class _Words:
         first = windows[new]
         after = np.concatenate((np.flatnonzero(new)[1:], [len(windows)])) - 1
         anchor_at = first + ((place[new].astype(np.int64) - first) & int(low))
-        return runs[anchor_at], of[first], first, windows[after] + WINDOW - first
+        # The smallest hashes have few leading bits; mixed again, anchors are spread evenly over the filter.
+        return _mix(runs[anchor_at]), of[first], first, windows[after] + WINDOW - first
 
 
 def _slices(rows: list[bytes]) -> Iterator[tuple[int, list[bytes]]]:
@@ -195,19 +195,6 @@ def _search_shard(table: pa.Table) -> pa.Table:
     return table.select(["anchor", "passage"]).append_column("mask", pa.array(masks, pa.int64()))
 
 
-def _anchor_filter(repeated: DataFrame) -> tuple[np.ndarray, int]:
-    """A table of bits that holds all anchors of ``repeated``, and the shift that finds an anchor's bit."""
-    bits = min(_MOST_BITS, max(10, math.ceil(math.log2(_BITS_EACH * max(1, repeated.count())))))
-    shift = 64 - bits
-    # The anchors are hashes: their leading bits name the bit. At most 2^bits / 64 numbers come to the driver.
-    place = F.shiftrightunsigned("anchor", shift)
-    one = F.call_function("shiftleft", F.lit(1).cast("bigint"), place.bitwiseAND(F.lit(63)).cast("int"))
-    words = repeated.select(F.shiftright(place, 6).alias("at"), one.alias("bit")).groupBy("at").agg(F.bit_or("bit").alias("bits")).toPandas()
-    table = np.zeros(1 << (bits - 6), dtype=np.int64)
-    table[words["at"].to_numpy(dtype=np.int64)] = words["bits"].to_numpy(dtype=np.int64)
-    return np.unpackbits(table.view(np.uint8), bitorder="little"), shift
-
-
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_words, n_removed, kept_sha256, kept) of every row; ``kept`` has the words that stay, joined by a space.
 
@@ -220,6 +207,16 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     # A text is known by its id and hash, which are the same in every scan.
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text"))
 
+    def passed(of: BitFilter, wanted: bool) -> DataFrame:
+        """The texts that a filter passes, or those it does not."""
+        shared = docs.sparkSession.sparkContext.broadcast(of)
+
+        def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield batch.filter(pa.array(shared.value.passes(batch.column(1).to_numpy()) == wanted))
+
+        return rows.mapInArrow(choose, f"id {kind}, th bigint, text string")
+
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, some in _slices(texts(batch.column(0))):
@@ -228,16 +225,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     counted = rows.select("text").mapInArrow(anchors, "anchor bigint, n bigint").groupBy("anchor").agg(F.sum("n").alias("n"))
     repeated = materialize(counted.where(F.col("n") > 1).select("anchor"), "repeats-anchors")
-    bits, shift = _anchor_filter(repeated)
-    shared = docs.sparkSession.sparkContext.broadcast(np.packbits(bits))
+    shared = docs.sparkSession.sparkContext.broadcast(bit_filter(repeated, "anchor"))
 
     def occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.unpackbits(shared.value)
         for batch in batches:
             for start, some in _slices(texts(batch.column(2))):
                 words = _Words(some)
                 anchor, of, first, size = words.passages()
-                kept = np.flatnonzero(seen[anchor >> np.uint64(shift)])
+                kept = np.flatnonzero(shared.value.passes(anchor))
                 anchor, of, first, size = anchor[kept], of[kept], first[kept], size[kept]
                 passage = words.sums.of(first, first + size)
                 where = pa.array(of + start)
@@ -261,9 +256,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     # The words of one occurrence of each other passage are fetched from its text.
     wanted = passages.where(F.col("kinds") > 1).withColumn("hot", F.col("kinds") > MOST_PASSAGES)
     wanted = wanted.groupBy("id", "th").agg(F.collect_list(F.struct("anchor", "passage", "n", "first", "size", "hot")).alias("wanted"))
-    wanted = wanted.toDF("_id", "_th", "wanted")
+    # Written, and told by a filter of bounded size, so that only texts that have one are sent to the join.
+    wanted = materialize(wanted.toDF("_id", "_th", "wanted"), "repeats-wanted")
     same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th"))
-    sources = rows.join(wanted, same).dropDuplicates(["_id", "_th"]).select("text", "wanted")
+    sources = passed(bit_filter(wanted, "_th"), True).join(wanted, same).dropDuplicates(["_id", "_th"]).select("text", "wanted")
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -302,7 +298,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     marked = found.join(masks, (F.col("anchor") == F.col("_anchor")) & (F.col("passage") == F.col("_passage")))
     # A set: however often a text is repeated under one id, its marks are no more than its passages.
     marked = marked.groupBy("id", "th").agg(F.collect_set(F.struct("first", "mask")).alias("marks")).toDF("_id", "_th", "marks")
-    joined = rows.join(marked, same, "left").select("id", "text", "marks.first", "marks.mask")
+    marked = materialize(marked, "repeats-marked")
+    of_marked = bit_filter(marked, "_th")
+    joined = passed(of_marked, True).join(marked, same, "left").select("id", "text", "marks.first", "marks.mask")
+    # Texts without marks need no join.
+    none = F.lit(None)
+    alone = passed(of_marked, False).select("id", "text", none.cast("array<int>").alias("first"), none.cast("array<bigint>").alias("mask"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -330,4 +331,4 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             yield pa.RecordBatch.from_arrays(columns, [id_col, "n_words", "n_removed", "kept_sha256", "kept"])
 
     schema = f"`{id_col}` {kind}, n_words bigint, n_removed bigint, kept_sha256 string, kept string"
-    return joined.mapInArrow(cut, schema)
+    return joined.mapInArrow(cut, schema).unionByName(alone.mapInArrow(cut, schema))

@@ -17,12 +17,12 @@ def comparable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     return rows.where(F.coalesce(finite, F.lit(False)) & F.exists("_vec", lambda x: x != 0))
 
 
-def usual_size(rows: DataFrame) -> int:
-    """The commonest length of the vectors, the larger of equals; 0 if there are none."""
-    sizes = rows.groupBy(F.size("_vec").alias("size")).count().orderBy(F.desc("count"), F.desc("size")).head()
-    return sizes["size"] if sizes else 0
-
-
 def matrix(column: pa.Array, width: int) -> np.ndarray:
     """The rows of an Arrow column of number lists of equal length."""
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+
+
+def unit_rows(vectors: np.ndarray) -> np.ndarray:
+    """The rows scaled to length one; by their largest number first, so that no square is too large or too small."""
+    scaled = vectors / np.abs(vectors).max(axis=1, keepdims=True)
+    return scaled / np.linalg.norm(scaled, axis=1, keepdims=True)

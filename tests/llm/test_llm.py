@@ -259,6 +259,35 @@ def test_nearest_neighbours(vectors):
     assert ann.nearest(df.limit(0), df.limit(0)).count() == 0
 
 
+def test_simhash_of_one_id_on_several_texts(spark):
+    texts = [(1, "a b c d e f"), (1, "u v w x y z"), (2, "u v w x y z"), (3, "a b c d e f"), (1, "a b c d e f"), (None, "a b c d e f"), (4, None)]
+    df = spark.createDataFrame(texts, "doc_id bigint, text string")
+    found = simhash.simhash_components(df).collect()
+    assert sorted((r["doc_id"], r["component_id"]) for r in found if r["doc_id"]) == [(1, 1)] * 3 + [(2, 1), (3, 1), (4, 4)]
+    assert len(found) == len(texts)
+    kept = sorted(((r["doc_id"], r["text"]) for r in simhash.one_of_each(df).collect()), key=str)
+    assert kept == sorted([(1, "a b c d e f"), (1, "u v w x y z"), (None, "a b c d e f"), (4, None)], key=str)
+
+
+def test_vectors_of_several_lengths_and_extreme_numbers(spark):
+    rows = [(1, [1.0, 1.0]), (2, [1.0, 1.01]), (3, [1e-200, 1e-200]), (4, [1e160, 1e160]), (5, [1.0, 0.0, 0.0]), (6, [1.0, 0.1, 0.0]), (7, [-1.0, 1.0]), (7, [5e-324, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    found = sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in embed_neardup.near_duplicates(df).collect())
+    assert found == [(1, 3, 1), (2, 3, 1), (3, 3, 1), (4, 3, 1), (5, 1, 5), (6, 1, 5), (7, 0, 7), (7, 0, 7)]
+    small = df.where("vec_id <> 4")
+    near = [(r["query_id"], r["rank"], r["vec_id"]) for r in ann.nearest(small, small.where("vec_id in (1, 5, 7)"), k=2).collect()]
+    assert sorted(near) == [(1, 1, 2), (1, 2, 3), (5, 1, 6), (7, 1, 3), (7, 2, 1)]
+
+
+def test_language_goes_by_the_row(spark):
+    good = "the king and the thing " * 30
+    rows = [(n, good, "en", "s") for n in range(20)] + [(1, "12 34", "en", "s"), (None, "12", None, None)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    kept = language_id.accepted_documents(df).collect()
+    assert sorted(str((r["doc_id"], r["text"])) for r in kept) == sorted(str((n, t)) for n, t, _, _ in rows if t != "12 34")
+    assert language_id.accepted_documents(df.limit(0)).count() == 0
+
+
 def test_empty_tables(docs, spark):
     P = pytest.importorskip("public_tokenizers")
     none = docs.limit(0)
