@@ -305,14 +305,15 @@ def kmeans_fit(spark, folder):
 
 @query("kmeans_sweep_distance")
 def kmeans_sweep_distance(spark, folder):
-    """The three sweeps: coarse from one start by the library's tolerance, then fine, then normalised."""
+    """The four sweeps: coarse from one start by the library's tolerance, then fine, normalised, and one-hot and normalised."""
     rows = network_features(spark, folder)
     coarse = clustering.kmeans_sweep_distance(rows, clustering.SWEEP_COARSE, starts=1, tol=1e-4)
     fine = clustering.kmeans_sweep_distance(rows, clustering.SWEEP_FINE)
     normal = clustering.kmeans_sweep_distance(rows, clustering.SWEEP_NORMAL, normalise=True)
+    onehot = clustering.kmeans_sweep_distance(encoded(spark, folder), clustering.SWEEP_ONEHOT, normalise=True)
     named = [part.select(F.lit(name).alias("sweep"), "k", "mean_distance")
-             for name, part in (("coarse", coarse), ("fine", fine), ("normal", normal))]
-    return named[0].unionByName(named[1]).unionByName(named[2])
+             for name, part in (("coarse", coarse), ("fine", fine), ("normal", normal), ("onehot", onehot))]
+    return named[0].unionByName(named[1]).unionByName(named[2]).unionByName(named[3])
 
 
 @query("kmeans_sweep_entropy")
