@@ -8,6 +8,7 @@ from tallyforge.catalog import fixtures as fx
 from tallyforge.catalog.registry import query, rounded, table
 from tallyforge.functions.scalars import nan_to_zero
 from tallyforge.operators import profiling
+from tallyforge.plans.durable import materialize
 from tallyforge.sources.text import with_scores
 
 _F3 = f"f3 AS ({fx.LINKAGE})"
@@ -67,6 +68,16 @@ def stats_with_missing(spark, folder):
     return _rounded(stats, {"mean", "stdev", "max", "min"})
 
 
+@query("stats_merged", f"""
+WITH {_LONG} SELECT is_match, pos, {_STATS}, count_if(x IS NULL)::BIGINT AS missing FROM cells GROUP BY is_match, pos""")
+def stats_merged(spark, folder):
+    """Statistics of some rows, stored, merged with those of the others: the same as one pass over all rows."""
+    rows = linkage(spark, folder).withColumn("_later", F.col(fx.SCORE_COLUMNS[0]).isNull())
+    stored = materialize(profiling.stats_state(rows.where(~F.col("_later")), fx.SCORE_COLUMNS, by=("is_match",)), "stats")
+    both = stored.unionByName(profiling.stats_state(rows.where("_later"), fx.SCORE_COLUMNS, by=("is_match",)))
+    return _rounded(profiling.stats_of_state(profiling.merge_states(both, by=("is_match",))), {"mean", "stdev", "max", "min"})
+
+
 @query("match_separation", f"""
 WITH {_LONG} SELECT pos, count_if(x IS NULL)::BIGINT AS missing,
 round(avg(x) FILTER (is_match) - avg(x) FILTER (NOT is_match), 6) + 0.0 AS mean_gap FROM cells GROUP BY pos""")
