@@ -218,18 +218,24 @@ SELECT event_type, ts, cast(floor((day(ts) - 1) / 5) AS bigint) AS batch,
 FROM events"""
 
 
+_SET_BATCHES = _BATCHES.replace("SELECT event_type", "SELECT event_id, event_type", 1)
+
+
 def _batch_numbers(rows):
     """The batches that are there: one per five days of the month."""
     return [row["batch"] for row in rows.select("batch").distinct().orderBy("batch").collect()]
 
 
-@query("sink_counter_upsert", f"""
+_COUNTERS = f"""
 WITH b AS (SELECT concat(event_type, ':', who) AS key, batch, count(*) AS n, max(ts) AS seen FROM ({_BATCHES}) GROUP BY ALL),
      m AS (SELECT *, seen > lag(seen) OVER (PARTITION BY key ORDER BY seen) + INTERVAL 2 DAY AS restarts FROM b),
      l AS (SELECT *, coalesce(sum(restarts::INT) OVER (PARTITION BY key ORDER BY seen
                      ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), 0) AS later FROM m)
 SELECT key, sum(n)::BIGINT AS cnt FROM l WHERE later = 0 GROUP BY key
-HAVING max(seen) + INTERVAL 2 DAY > (SELECT max(ts) FROM events)""")
+HAVING max(seen) + INTERVAL 2 DAY > (SELECT max(ts) FROM events)"""
+
+
+@query("sink_counter_upsert", _COUNTERS)
 def sink_counter_upsert(spark, folder):
     rows = fx.fixture(spark, folder, _BATCHES).withColumn("cnt", F.lit(1).cast("bigint"))
     path = new_folder(spark, "counters")
@@ -241,6 +247,37 @@ def sink_counter_upsert(spark, folder):
     return sinks.read_counters(spark, path, now).select("key", "cnt")
 
 
+@query("counter_store", _COUNTERS)
+def counter_store(spark, folder):
+    """The same counters from a store that is folded after every second batch; folded batches are replayed as well."""
+    rows = fx.fixture(spark, folder, _BATCHES).withColumn("cnt", F.lit(1).cast("bigint"))
+    path = new_folder(spark, "counters")
+    write = sinks.sink_counter_upsert(path, ["event_type", "who"], batch_time=F.col("ts").cast("timestamp"), fold_every=2)
+    batches = _batch_numbers(rows)
+    for batch in [*batches, *batches[:1], *batches[-1:]]:
+        write(rows.where(F.col("batch") == batch), batch)
+    now = table(spark, folder, "events").agg(F.max(F.col("ts").cast("timestamp"))).scalar()
+    return sinks.read_counters(spark, path, now).select("key", "cnt")
+
+
+@query("sink_keyed_set", f"""
+WITH b AS (SELECT concat(event_type, '@', substring(ts::VARCHAR, 1, 7)) AS key, who, event_id FROM ({_SET_BATCHES}))
+SELECT key, 'users' AS "column", count(DISTINCT who)::VARCHAR AS value FROM b GROUP BY key
+UNION ALL SELECT key, 'events', count(DISTINCT event_id)::VARCHAR FROM b GROUP BY key""")
+def sink_keyed_set(spark, folder):
+    """Distinct names and ids per kind of event and month, over batches of five days; each batch comes twice."""
+    rows = fx.fixture(spark, folder, _SET_BATCHES)
+    key = sinks.put_key("event_type", F.substring(F.col("ts").cast("string"), 1, 7))
+    users, events = new_folder(spark, "user-sets"), new_folder(spark, "event-sets")
+    put_users = sinks.sink_keyed_set(users, key, F.col("who"), "users", fold_every=3)
+    put_events = sinks.sink_keyed_set(events, key, F.col("event_id"), "events", fold_every=2)
+    for batch in _batch_numbers(rows):
+        now = rows.where(F.col("batch") == batch)
+        for put in (put_users, put_users, put_events, put_events):
+            put(now, batch)
+    return sinks.read_set_sizes(spark, users).unionByName(sinks.read_set_sizes(spark, events))
+
+
 @query("sink_keyed_put", f"""
 WITH b AS (SELECT * FROM ({_BATCHES})),
      counts AS (SELECT who, batch, count(*) AS n FROM b GROUP BY ALL),

@@ -16,7 +16,8 @@ from tallyforge.operators import access_log
 from tallyforge.operators.counting import topk_per_group, word_count
 from tallyforge.operators.cube import AD_DIMENSIONS, AD_FIXED, ad_cube
 from tallyforge.plans.durable import materialize
-from tallyforge.sources.sinks import replace_batch, sink_counter_upsert
+from tallyforge.sources.sinks import sink_counter_upsert
+from tallyforge.sources.stores import replace_batch
 
 # Batch intervals, and length and step of the two kinds of window.
 AD_INTERVAL, WORD_INTERVAL, STATE_INTERVAL = "60 seconds", "30 seconds", "10 seconds"
