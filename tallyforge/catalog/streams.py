@@ -20,7 +20,7 @@ from tallyforge.plans.durable import new_folder
 from tallyforge.functions.adlogs import read_ad_log
 from tallyforge.sources.sinks import read_counters, sink_print
 from tallyforge.sources.streams import KAFKA_SCHEMA, message_lines, source_parquet_files, stream_source
-from tallyforge.streaming import jobs
+from tallyforge.streaming import jobs, panes, states
 
 _TEN_DAYS = "least(floor((day(ts) - 1) / 10), 2)"
 _DELAY = "1 hour"
@@ -97,29 +97,62 @@ def stream_running_count(spark, folder):
     )
 
 
+def sliding_counts(spark, rows, parse, *keys: str) -> DataFrame:
+    """Counts per window of 30 seconds every 20, from panes of 10 that the stream keeps."""
+    log = update_log(
+        spark, rows, _TEN_DAYS, lambda s: panes.pane_sums(parse(s), *keys, delay=_DELAY), ["pane", *keys]
+    )
+    return shown(panes.windows_of_panes(log, *keys))
+
+
 @query("stream_window_count", f"""
 WITH {_LOGS}, {_windows('logs', 30, 20)} SELECT {_SHOWN}, ip_address, count(*) AS cnt FROM w GROUP BY ALL""")
 def stream_window_count(spark, folder):
-    lines, keys = timed_lines(spark, folder), ["start", "end", "ip_address"]
-    return shown(update_log(spark, lines, _TEN_DAYS, lambda s: jobs.stream_window_count(parsed(s), delay=_DELAY), keys))
+    return sliding_counts(spark, timed_lines(spark, folder), parsed, "ip_address")
 
 
 @query("stream_value_window", f"""
 WITH {_LOGS}, {_windows('logs', 30, 20)} SELECT {_SHOWN}, endpoint, count(*) AS cnt FROM w GROUP BY ALL""")
 def stream_value_window(spark, folder):
-    lines = timed_lines(spark, folder)
-    return shown(update_log(
-        spark, lines, _TEN_DAYS, lambda s: jobs.stream_value_window(parsed(s), "endpoint", delay=_DELAY),
-        ["start", "end", "endpoint"],
-    ))
+    return sliding_counts(spark, timed_lines(spark, folder), parsed, "endpoint")
 
 
 @query("stream_count_window", f"""
 WITH {_windows('events', 30, 20)} SELECT {_SHOWN}, count(*) AS cnt FROM w GROUP BY ALL""")
 def stream_count_window(spark, folder):
     events = table(spark, folder, "events").withColumn("ts", F.col("ts").cast("timestamp"))
-    transform, keys = lambda s: jobs.stream_count_window(s, delay=_DELAY), ["start", "end"]
-    return shown(update_log(spark, events, _TEN_DAYS, transform, keys))
+    return sliding_counts(spark, events, lambda stream: stream)
+
+
+@query("stream_state_by_key", f"""
+WITH {_LOGS}, sized AS (SELECT response_code, ts, content_size,
+  row_number() OVER (PARTITION BY response_code ORDER BY content_size DESC) AS place FROM logs)
+SELECT response_code, count(*) AS cnt, count(DISTINCT day(ts)) AS days, max(content_size) AS largest,
+       coalesce(max(content_size) FILTER (place = 2), -1)::BIGINT AS second
+FROM sized GROUP BY 1""")
+def stream_state_by_key(spark, folder):
+    """A state that does not add up: requests, days of the month and the two largest sizes of every response code."""
+
+    def fold(state, rows):
+        count, days, largest, second = state or (0, 0, -1, -1)
+        for day in rows["ts"].dt.day.unique():
+            days |= 1 << int(day)
+        second, largest = sorted([largest, second, *rows["content_size"].nlargest(2)])[-2:]
+        return count + len(rows), days, int(largest), int(second)
+
+    def transform(stream):
+        rows = parsed(stream).select("response_code", "ip_address", "endpoint", "content_size", "ts")
+        return states.update_state_by_key(
+            rows, ["response_code"], fold, "cnt bigint, days bigint, largest bigint, second bigint", shards=8
+        )
+
+    found = update_log(spark, timed_lines(spark, folder), _TEN_DAYS, transform, ["response_code", states.SHARD])
+    # At most two sizes of each shard.
+    sizes = F.sort_array(F.flatten(F.collect_list(F.array("largest", "second"))), False)
+    return found.where(states.LIVE).groupBy("response_code").agg(
+        F.sum("cnt").cast("bigint").alias("cnt"), F.bit_count(F.bit_or("days")).cast("bigint").alias("days"),
+        sizes[0].alias("largest"), sizes[1].alias("second"),
+    )
 
 
 @query("stream_sum_count_join", f"""
