@@ -123,6 +123,7 @@ def bit_filter(hashes: DataFrame, column: str) -> BitFilter:
     place = F.shiftrightunsigned(column, shift) + 1
     bitmaps = hashes.select(place.alias("place"), F.bitmap_bucket_number(place).alias("bucket")).repartition("bucket").groupBy("bucket")
     table = np.zeros(max(1 << (bits - 3), 4096), dtype=np.uint8)
-    for bucket, bitmap in bitmaps.agg(F.bitmap_construct_agg(F.bitmap_bit_position("place"))).toLocalIterator():
+    # 16 MB at most, in one job; an iterator would run one for each partition.
+    for bucket, bitmap in bitmaps.agg(F.bitmap_construct_agg(F.bitmap_bit_position("place"))).collect():
         table[(bucket - 1) * 4096 : bucket * 4096] = np.frombuffer(bitmap, dtype=np.uint8)
     return BitFilter(table, shift)
