@@ -210,26 +210,30 @@ near AS (SELECT source, id, min(dist) AS dist FROM walk GROUP BY 1, 2),
 paths AS (SELECT DISTINCT least(source, id) AS low, greatest(source, id) AS high, dist FROM near)"""
 
 
-def paths(spark, folder):
-    vertices, edges = significant(spark, folder)
+def path_sources(vertices):
     keyed = vertices.select("id", F.pmod("id", F.lit(1000003)).alias("key"))
-    sources = sample_by_hash(keyed, "key", graph.PATH_SHARE, graph.PATH_SEED).select("id")
-    return graph.bfs_multi_source(vertices, edges, sources=sources)
+    return sample_by_hash(keyed, "key", graph.PATH_SHARE, graph.PATH_SEED).select("id")
+
+
+def path_counts(spark, folder):
+    vertices, edges = significant(spark, folder)
+    return graph.path_length_counts(path_sources(vertices), edges)
 
 
 @query("bfs_multi_source", f"WITH RECURSIVE {_BFS} SELECT low, high, dist FROM paths")
 def bfs_multi_source(spark, folder):
-    return paths(spark, folder)
+    vertices, edges = significant(spark, folder)
+    return graph.bfs_multi_source(vertices, edges, sources=path_sources(vertices))
 
 
 @query("path_length_hist", f"WITH RECURSIVE {_BFS} SELECT dist, count(*) AS cnt FROM paths GROUP BY 1")
 def path_length_hist(spark, folder):
-    return graph.path_length_hist(paths(spark, folder))
+    return path_counts(spark, folder)
 
 
 @query("path_length_stats", f"""
 WITH RECURSIVE {_BFS} SELECT count(*) AS cnt, round(avg(dist), 6) AS mean, round(stddev_pop(dist), 6) AS stdev,
 max(dist)::DOUBLE AS max, min(dist)::DOUBLE AS min FROM paths WHERE dist > 0""")
 def path_length_stats(spark, folder):
-    stats = graph.path_length_stats(paths(spark, folder))
+    stats = graph.path_count_stats(path_counts(spark, folder))
     return stats.withColumn("mean", rounded("mean")).withColumn("stdev", rounded("stdev"))

@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyforge.functions.scalars import chi_square, hash_id
 from tallyforge.operators.counting import topk_by_count
 from tallyforge.operators.profiling import summary_stats
 from tallyforge.operators.sampling import sample_rows
-from tallyforge.plans.durable import RoundTables, materialize
+from tallyforge.plans.durable import RoundTables, materialize, new_folder
 from tallyforge.plans.ordered import dense_positions
 
 # The significance bound, the length of name lists, and the share and seed of path sources.
@@ -244,12 +245,23 @@ def avg_clustering_coef(vertices: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def bfs_distances(sources: DataFrame, edges: DataFrame) -> DataFrame:
-    """(source, id, dist) for everything reachable from each source over undirected edges, the source itself included.
+    """(source, id, dist) for everything reachable from each source over undirected edges, the source itself included."""
+    reached, numbered = _bit_searches(sources, edges)
+    ones = F.filter(F.sequence(F.lit(0), F.lit(_WORD - 1)), lambda i: F.getbit("bits", i) == 1)
+    found = reached.select("word", "id", "dist", F.explode(ones).alias("at"))
+    found = found.select((F.col("word") * _WORD + F.col("at")).alias("number"), "id", "dist")
+    return found.join(numbered.select("number", F.col("id").alias("source")), "number").select("source", "id", "dist")
+
+
+def _bit_searches(sources: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """What each hop reaches, as (word, id, bits, dist), and the numbers of the sources.
 
     Sources are numbered and searched 64 at a time: a frontier row is a vertex with a word of bits, one per source, so a
     hop joins and shuffles up to 64 searches as one row and merges them with a bitwise OR before the shuffle. As edges go
-    both ways, a step can only lead back to the last two frontiers, so nothing older is looked at.
+    both ways, a step can only lead back to the last two frontiers, so nothing older is looked at. Each frontier is a
+    partition of one table, so the result is one scan, whatever the number of hops.
     """
+    spark = sources.sparkSession
     simple = _simple_edges(edges)
     links = materialize(
         simple.select(F.col("a").alias("id"), F.col("b").alias("next")).unionByName(
@@ -258,12 +270,15 @@ def bfs_distances(sources: DataFrame, edges: DataFrame) -> DataFrame:
         "links",
     )
     numbered = materialize(_numbered(sources), "sources")
+    folder = new_folder(spark, "reached")
     bit = F.expr(f"shiftleft(1L, cast(pmod(number, {_WORD}) AS INT))")
-    frontier = materialize(
-        numbered.select(_word("number").alias("word"), "id", bit.alias("bits"), F.lit(0).alias("dist")), "frontier"
-    )
-    # Every frontier stays: together they are the result.
-    reached, before, hop = frontier, None, 0
+    first = numbered.select(_word("number").alias("word"), "id", bit.alias("bits"))
+
+    def saved(rows: DataFrame, hop: int) -> DataFrame:
+        rows.write.parquet(f"{folder}/dist={hop}")
+        return spark.read.schema(first.schema).parquet(f"{folder}/dist={hop}")
+
+    frontier, before, hop = saved(first, 0), None, 0
     while not frontier.isEmpty():
         hop += 1
         step = frontier.join(links, "id").groupBy("word", F.col("next").alias("id")).agg(F.bit_or("bits").alias("bits"))
@@ -272,12 +287,9 @@ def bfs_distances(sources: DataFrame, edges: DataFrame) -> DataFrame:
         fresh = step.join(known, ["word", "id"], "left").select(
             "word", "id", F.col("bits").bitwiseAND(F.bitwise_not(F.coalesce("known", F.lit(0).cast("bigint")))).alias("bits")
         ).where(F.col("bits") != 0)
-        before, frontier = frontier, materialize(fresh.withColumn("dist", F.lit(hop)), "frontier")
-        reached = reached.unionByName(frontier)
-    ones = F.filter(F.sequence(F.lit(0), F.lit(_WORD - 1)), lambda i: F.getbit("bits", i) == 1)
-    found = reached.select("word", "id", "dist", F.explode(ones).alias("at"))
-    found = found.select((F.col("word") * _WORD + F.col("at")).alias("number"), "id", "dist")
-    return found.join(numbered.select("number", F.col("id").alias("source")), "number").select("source", "id", "dist")
+        before, frontier = frontier, saved(fresh, hop)
+    hops = T.StructType(list(first.schema.fields) + [T.StructField("dist", T.IntegerType())])
+    return spark.read.schema(hops).parquet(folder), numbered
 
 
 def _numbered(sources: DataFrame) -> DataFrame:
@@ -314,3 +326,32 @@ def path_length_stats(pairs: DataFrame) -> DataFrame:
 
 def path_length_hist(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("dist").agg(F.count(F.lit(1)).alias("cnt")).orderBy("dist")
+
+
+def path_length_counts(sources: DataFrame, edges: DataFrame) -> DataFrame:
+    """(dist, cnt) of the pairs that :func:`bfs_multi_source` would list, counted from the words of bits: no pair is made.
+
+    Each set bit is one (source, vertex). Over undirected edges a pair of two sources is found from both ends, so half of
+    the bits at vertices that are sources themselves are taken off. A source and itself, at distance 0, is found once.
+    """
+    reached, numbered = _bit_searches(sources, edges)
+    marks = numbered.select("id", F.lit(True).alias("_source"))
+    bits = F.bit_count("bits").cast("bigint")
+    sums = reached.join(marks, "id", "left").groupBy("dist").agg(
+        F.sum(bits).alias("found"), F.coalesce(F.sum(F.when(F.col("_source"), bits)), F.lit(0)).alias("both")
+    )
+    twice = F.when(F.col("dist") > 0, F.expr("both div 2")).otherwise(F.lit(0).cast("bigint"))
+    return sums.select("dist", (F.col("found") - twice).alias("cnt")).orderBy("dist")
+
+
+def path_count_stats(counts: DataFrame) -> DataFrame:
+    """:func:`path_length_stats` from (dist, cnt). No path above distance 0 gives a count of 0 and NULLs."""
+    n, d = F.col("cnt").cast("decimal(38,0)"), F.col("dist")
+    sums = counts.where(d > 0).agg(
+        F.coalesce(F.sum("cnt"), F.lit(0)).alias("cnt"), F.sum(n * d).alias("s"), F.sum(n * d * d).alias("q"),
+        F.max("dist").cast("double").alias("max"), F.min("dist").cast("double").alias("min"),
+    )
+    n, s, q = (F.col(c).cast("double") for c in ("cnt", "s", "q"))
+    variance = q / n - (s / n) * (s / n)
+    stdev = F.sqrt(F.when(variance < 0, 0.0).otherwise(variance))
+    return sums.select("cnt", (s / n).alias("mean"), stdev.alias("stdev"), "max", "min")

@@ -88,6 +88,29 @@ def test_distances(spark, case):
     assert len(pairs) == len(expected) and {tuple(p) for p in pairs} == expected
 
 
+@pytest.mark.parametrize("case, step", [("sparse", 1), ("hub", 3), ("loops", 1)])
+def test_path_counts_are_those_of_the_pairs(spark, case, step):
+    n, edges = CASES[case]
+    some, near = list(range(0, n, step)), around(edges)
+    pairs = {(min(s, t), max(s, t), d) for s in some for t, d in walk(s, near).items()}
+    counts = graph.path_length_counts(vertices(spark, some), frame(spark, edges))
+    assert {r.dist: r.cnt for r in counts.collect()} == dict(Counter(d for _, _, d in pairs))
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan
+    found = graph.path_count_stats(counts).first()
+    listed = graph.path_length_stats(spark.createDataFrame(sorted(pairs), "low long, high long, dist int")).first()
+    assert found.cnt == listed.cnt and (found.max, found.min) == (listed.max, listed.min)
+    if listed.cnt:
+        assert found.mean == pytest.approx(listed.mean) and found.stdev == pytest.approx(listed.stdev, abs=1e-9)
+
+
+def test_path_counts_without_sources_or_edges(spark):
+    assert graph.path_length_counts(vertices(spark, []), frame(spark, [(1, 2)])).count() == 0
+    alone = graph.path_length_counts(vertices(spark, [5, 5, 7]), frame(spark, []))
+    assert [tuple(r) for r in alone.collect()] == [(0, 2)]
+    assert tuple(graph.path_count_stats(alone).first()) == (0, None, None, None, None)
+
+
 def test_sampled_sources_repeat(spark):
     n, edges = CASES["hub"]
     runs = [set(map(tuple, graph.bfs_multi_source(vertices(spark, range(n)), frame(spark, edges), 0.2, 1729).collect())) for _ in range(2)]
