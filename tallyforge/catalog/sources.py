@@ -128,7 +128,8 @@ def major_topics(spark, folder):
 
 
 @query("wiki_article_filter", """
-SELECT concat('Doc ', doc_id) AS title, md5(trim(concat('lead link ', words))) AS content_md5
+SELECT concat('Doc ', doc_id) AS title,
+       md5(trim(concat('lead ', CASE WHEN doc_id % 7 = 0 THEN 'deep' ELSE ' ' END, 'link   ', words, ' end'))) AS content_md5
 FROM (SELECT *, array_to_string(regexp_split_to_array(text, '[^\\p{L}\\p{N}]+'), ' ') AS words FROM documents)
 WHERE doc_id % 13 <> 5 AND doc_id % 11 <> 4 AND doc_id % 17 <> 6""")
 def wiki_article_filter(spark, folder):
@@ -136,11 +137,15 @@ def wiki_article_filter(spark, folder):
     words = F.array_join(F.split("text", r"[^\p{L}\p{N}]+", -1), " ")
     title = F.concat(F.lit("Doc "), F.col("doc_id").cast("string"),
                      F.when(F.col("doc_id") % 13 == 5, " (disambiguation)").otherwise(""))
+    depth = (F.col("doc_id") % 7).cast("int")
+    nested = F.concat(F.repeat(F.lit("{{box|a="), depth), F.lit("deep"), F.repeat(F.lit("}}"), depth))
     page = F.concat(
         F.lit("<page>\n<title>"), title, F.lit("</title>\n<ns>"),
         F.when(F.col("doc_id") % 11 == 4, "1").otherwise("0"), F.lit("</ns>\n"),
         F.when(F.col("doc_id") % 17 == 6, '<redirect title="Other" />\n').otherwise(""),
-        F.lit("<revision><text>'''lead''' [[Target|link]] "), words, F.lit("</text></revision>\n</page>"),
+        F.lit("<revision><text>'''lead''' "), nested,
+        F.lit("[[Target|link]] [[File:x.png|thumb|of [[Other|that]] {{tag}}]] "), words,
+        F.lit("{| class=t |- {| inner |} {{cell|}} |}end</text></revision>\n</page>"),
     )
     path = fx.written_text(spark, docs.select(page.alias("value")), "pages")
     pages = xml.scan_xml_columns(spark, path, xml.PAGE_TAG, xml.PAGE_SCHEMA)

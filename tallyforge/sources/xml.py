@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -58,22 +61,110 @@ def wiki_articles(pages: DataFrame) -> DataFrame:
     ).select("title", strip_markup(F.col("revision.text")).alias("content"))
 
 
-# Wiki markup to take out, and what stays of it.
-_MARKUP = [
+# Wiki markup to take out before and after nested brackets, what stays of it, and links that are no text.
+_BEFORE = [
     (r"(?s)<!--.*?-->", " "),
     (r"(?s)<ref[^>/]*/>|<ref[^>]*>.*?</ref>", " "),
-    (r"(?s)\{\{[^{}]*\}\}", " "),
-    (r"(?s)\{\|.*?\|\}", " "),
-    (r"\[\[(?:File|Image|Category):[^\[\]]*\]\]", " "),
-    (r"\[\[(?:[^\[\]|]*\|)?([^\[\]|]*)\]\]", "$1"),
+]
+_AFTER = [
     (r"\[https?://[^\s\]]+\s*([^\]]*)\]", "$1"),
     (r"'{2,}", ""),
     (r"<[^>]+>", " "),
     (r"(?m)^=+\s*(.*?)\s*=+\s*$", "$1"),
 ]
+_NO_TEXT = re.compile(r"\s*(?:File|Image|Category)\s*:", re.IGNORECASE)
+_BRACKET = re.compile(r"\{{2,}|\}{2,}|\{\||\|\}+|\[\[|\]\]|\|")
 
 
 def strip_markup(text: Column) -> Column:
-    for pattern, kept in _MARKUP:
+    """Plain text of wiki markup, whatever its nesting; NULL stays NULL."""
+    for pattern, kept in _BEFORE:
+        text = F.regexp_replace(text, pattern, kept)
+    text = without_brackets(text)
+    for pattern, kept in _AFTER:
         text = F.regexp_replace(text, pattern, kept)
     return F.trim(text)
+
+
+def without_brackets(text: Column) -> Column:
+    """Templates, parameters and tables become a space, links their label: patterns can't follow nested brackets."""
+
+    @F.pandas_udf("string")
+    def flatten(texts: pd.Series) -> pd.Series:
+        return texts.map(flat_markup, na_action="ignore")
+
+    return flatten(text)
+
+
+def flat_markup(text: str) -> str:
+    """One pass with a stack of open brackets.
+
+    An open bracket is its kind, its place in ``out``, what is left of a run of braces, and the place of the first pipe of
+    a link. A closing bracket ends the last open one of its kind; brackets in between that never close are plain text, and
+    so is a closing bracket without an open one. Runs of braces close in twos, but three at a time (a parameter) while the
+    shorter run is odd. Links to files and categories go with all they hold.
+    """
+    out: list[str] = []
+    stack: list[list] = []
+    depth = {"{": 0, "|": 0, "[": 0}
+    end = 0
+
+    def opened(kind: str) -> bool:
+        """Whether one of this kind is open; if so it is on top afterwards."""
+        if not depth[kind]:
+            return False
+        while stack[-1][0] != kind:
+            depth[stack.pop()[0]] -= 1
+        return True
+
+    def close_braces(left: int) -> None:
+        while left >= 2 and opened("{"):
+            top = stack[-1]
+            taken = 2 + min(left, top[2]) % 2
+            left, top[2] = left - taken, top[2] - taken
+            out[top[1]] = "{" * top[2]
+            out[top[1] + 1:] = [" "]
+            if top[2] < 2:
+                depth[stack.pop()[0]] -= 1
+        out.append("}" * left)
+
+    def pipe() -> None:
+        if stack and stack[-1][0] == "[" and stack[-1][3] is None:
+            stack[-1][3] = len(out)
+        out.append("|")
+
+    for found in _BRACKET.finditer(text):
+        if found.start() > end:
+            out.append(text[end:found.start()])
+        token, end = found.group(), found.end()
+        if token[0] == "{" or token == "[[":
+            kind = "|" if token == "{|" else token[0]
+            stack.append([kind, len(out), len(token), None])
+            depth[kind] += 1
+            out.append(token)
+        elif token[0] == "}":
+            close_braces(len(token))
+        elif token[0] == "|" and len(token) > 1:
+            if depth["|"] and (len(token) == 2 or (len(token) % 2 == 0 and stack[-1][0] == "|")):
+                opened("|")
+                out[stack.pop()[1]:] = [" "]
+                depth["|"] -= 1
+                close_braces(len(token) - 2)
+            else:
+                pipe()
+                close_braces(len(token) - 1)
+        elif token == "]]" and opened("["):
+            _, start, _, first = stack.pop()
+            depth["["] -= 1
+            if start + 1 < len(out) and _NO_TEXT.match(out[start + 1]):
+                out[start:] = [" "]
+            elif first is None:
+                out[start] = ""
+            else:
+                del out[start:first + 1]
+        elif token == "|":
+            pipe()
+        else:
+            out.append(token)
+    out.append(text[end:])
+    return "".join(out)
