@@ -346,3 +346,10 @@ def spam_classifier(spark, folder):
     rows = messages(spark, folder)
     model = mail.spam_classifier(rows.select("text", "label"))
     return mail.classify(model, rows).select("doc_id", "label", "prediction")
+
+
+@query("spam_sgd")
+def spam_sgd(spark, folder):
+    rows = messages(spark, folder)
+    model = mail.spam_sgd(rows.select("text", "label"))
+    return mail.classify_sgd(model, rows).select("doc_id", "label", "prediction")

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyforge.functions.scalars import split_on_spaces
+from tallyforge.operators import sgd
 
 # Fixed value: number of hash buckets.
 BUCKETS = 10_000
@@ -32,3 +33,12 @@ def spam_classifier(messages: DataFrame, iterations: int = 100) -> PipelineModel
 
 def classify(model: PipelineModel, messages: DataFrame) -> DataFrame:
     return model.transform(hashing_tf(messages)).drop("words", "features", "rawPrediction", "probability")
+
+
+def spam_sgd(messages: DataFrame, iterations: int = 100, fraction: float = 1.0, seed: int = 0) -> sgd.LinearModel:
+    """Fit on ``text`` and ``label`` by gradient steps, as an alternative to :func:`spam_classifier`."""
+    return sgd.logistic_sgd(hashing_tf(messages).select("features", "label"), BUCKETS, iterations, fraction=fraction, seed=seed)
+
+
+def classify_sgd(model: sgd.LinearModel, messages: DataFrame) -> DataFrame:
+    return sgd.predict(model, hashing_tf(messages).drop("words"))
