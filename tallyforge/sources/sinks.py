@@ -34,8 +34,22 @@ def sink_tsv(df: DataFrame, path: str) -> None:
 
 
 def sink_print(stream: DataFrame, rows: int = 10, mode: str = "append") -> DataStreamWriter:
-    """The first rows of every batch on the console."""
-    return stream.writeStream.format("console").option("numRows", rows).outputMode(mode)
+    """The first rows of every batch on the console.
+
+    Every batch is worked off whole and once, but a task hands over its first rows only: Spark's own console format sends all
+    rows of a batch to the driver.
+    """
+
+    def show(batch: DataFrame, batch_id: int) -> None:
+        place = "_place"
+        while place in batch.columns:
+            place = f"_{place}"
+        placed = batch.withColumn(place, F.monotonically_increasing_id())
+        print(f"{'-' * 43}\nBatch: {batch_id}\n{'-' * 43}")
+        # One more than is shown, so that it is said if there are more.
+        placed.orderBy(place).limit(rows + 1).drop(place).show(rows)
+
+    return stream.writeStream.outputMode(mode).foreachBatch(show)
 
 
 def _writer(

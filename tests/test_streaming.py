@@ -115,6 +115,25 @@ def test_console_sink(spark, tmp_path):
     assert sum(p["numInputRows"] for p in query.recentProgress) == 2
 
 
+def test_console_sink_keeps_rows_from_the_driver(spark, tmp_path, capfd):
+    source, state = str(tmp_path / "in"), str(tmp_path / "state")
+    numbers = spark.range(0, 20_000, numPartitions=4).selectExpr("id", "repeat(md5(cast(id AS string)), 40) AS text")
+    numbers.write.parquet(source)
+    stream = streams.source_parquet_files(spark, source, numbers.schema)
+    limit = spark.conf.get("spark.driver.maxResultSize", "1g")
+    tracker = spark.sparkContext._jsc.sc().conf()
+    before = tracker.get("spark.driver.maxResultSize", limit)
+    tracker.set("spark.driver.maxResultSize", "2m")  # 26 MB of rows
+    try:
+        query = sinks.sink_print(stream, 3).option("checkpointLocation", state).trigger(availableNow=True).start()
+        query.awaitTermination()
+    finally:
+        tracker.set("spark.driver.maxResultSize", before)
+    assert sum(p["numInputRows"] for p in query.recentProgress) == 20_000
+    printed = capfd.readouterr().out
+    assert "Batch: 0" in printed and printed.count("|") == 3 * 4 and "only showing top 3 rows" in printed
+
+
 def test_kafka_options():
     properties = {"bootstrap": "a:9092", "topic_ad": "basic", "group_ad": "g", "partitions": "3"}
     assert streams.kafka_options(properties, topic_key="topic_ad", group_key="group_ad") == {
