@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 #: State before and rows of a key; gives the state after, or None to drop it.
 Fold = Callable[[tuple | None, pd.DataFrame], tuple | None]
@@ -30,6 +30,8 @@ def update_state_by_key(
     ``shard`` and are for the reader to merge. So a hot key is work of many tasks. With ``idle_seconds`` a state is dropped
     once the watermark on ``ts`` is that far past the key's newest row; a later row starts anew.
 
+    It needs neither a certain state store nor packages or ports beyond those of Spark's grouped frames.
+
     The state must be the same in a second run from the same batches, so ``fold`` must not look at clocks or chance.
     """
     places = [*keys, SHARD] if shards > 1 else list(keys)
@@ -37,60 +39,44 @@ def update_state_by_key(
         rows = rows.withColumn(SHARD, F.pmod(F.xxhash64(*rows.columns), F.lit(shards)).cast("int"))
     if idle_seconds is not None:
         rows = rows.withWatermark(ts, delay)
-    columns = T._parse_datatype_string(state).fieldNames()
-    key_fields = [rows.schema[c] for c in places]
-    out = T.StructType([*key_fields, *T._parse_datatype_string(state).fields, T.StructField(LIVE, T.BooleanType())])
+    value = T._parse_datatype_string(state)
+    columns = value.fieldNames()
+    newest_name = "newest"
+    while newest_name in columns:
+        newest_name = f"_{newest_name}"
+    kept = T.StructType([*value.fields, T.StructField(newest_name, T.LongType())])
+    out = T.StructType([*[rows.schema[c] for c in places], *value.fields, T.StructField(LIVE, T.BooleanType())])
 
     # Local, so that it travels with the query and executors need not have this module.
-    class Folded(StatefulProcessor):
-        def init(self, handle):
-            self._handle = handle
-            self._value = handle.getValueState("state", state)
-            self._newest = handle.getValueState("newest", "ms bigint")
-
-        def handleInputRows(self, key, chunks, timerValues):
-            before = tuple(self._value.get()) if self._value.exists() else None
-            after, newest = before, self._newest.get()[0] if self._newest.exists() else None
-            for chunk in chunks:
-                after = fold(after, chunk)
-                if idle_seconds is not None and chunk[ts].notna().any():
-                    last = int(pd.Timestamp(chunk[ts].max()).timestamp() * 1000)
-                    newest = last if newest is None else max(newest, last)
-            if after is None:
-                self._drop()
-                if before is None:
-                    return
-            else:
-                self._value.update(after)
-                if newest is not None:
-                    self._newest.update((newest,))
-                    self._forget_timers()
-                    self._handle.registerTimer(newest + idle_seconds * 1000)
-            yield shown(key, after)
-
-        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-            if self._value.exists():
-                self._drop()
-                yield shown(key, None)
-
-        def close(self):
-            pass
-
-        def _forget_timers(self):
-            for timer in list(self._handle.listTimers()):
-                self._handle.deleteTimer(timer)
-
-        def _drop(self):
-            if idle_seconds is not None:
-                self._forget_timers()
-            self._value.clear()
-            self._newest.clear()
+    def update(key: tuple, chunks: Iterator[pd.DataFrame], held: GroupState) -> Iterator[pd.DataFrame]:
+        if held.hasTimedOut:
+            held.remove()
+            yield shown(key, None)
+            return
+        *before, newest = tuple(held.get) if held.exists else (None,)
+        before = after = tuple(before) if held.exists else None
+        for chunk in chunks:
+            if not len(chunk):
+                continue
+            after = fold(after, chunk)
+            if idle_seconds is not None and chunk[ts].notna().any():
+                last = int(pd.Timestamp(chunk[ts].max()).timestamp() * 1000)
+                newest = last if newest is None else max(newest, last)
+        if after is None:
+            if before is None:
+                return
+            held.remove()
+        else:
+            held.update((*after, newest))
+            if newest is not None:
+                held.setTimeoutTimestamp(max(newest + idle_seconds * 1000, held.getCurrentWatermarkMs() + 1))
+        yield shown(key, after)
 
     def shown(key, value):
-        filled = dict(zip(places, key, strict=True))
+        # A frame shows a NULL number as NaN.
+        filled = {c: None if v is None or v != v else v for c, v in zip(places, key, strict=True)}
         filled |= dict(zip(columns, value or (None,) * len(columns), strict=True))
         return pd.DataFrame({c: pd.Series([v], dtype="object") for c, v in (filled | {LIVE: value is not None}).items()})
 
-    return rows.groupBy(*places).transformWithStateInPandas(
-        Folded(), out, "update", "none" if idle_seconds is None else "eventTime"
-    )
+    timeout = GroupStateTimeout.NoTimeout if idle_seconds is None else GroupStateTimeout.EventTimeTimeout
+    return rows.groupBy(*places).applyInPandasWithState(update, out, kept, "update", timeout)

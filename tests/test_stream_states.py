@@ -147,3 +147,24 @@ def test_idle_state_ends_and_starts_anew(spark, tmp_path):
     found = {r.k: (r.cnt, r.live) for r in jobs.latest(log, ["k"]).collect()}
     assert found == {"a": (1, True), "b": (2, True), "c": (1, True)}
     assert [r.k for r in log.where(~F.col("live")).collect()] == ["a"]
+
+
+def test_state_by_function_in_the_default_state_store(spark, tmp_path):
+    """Sessions that were not made by build_session keep their state elsewhere; NULL numbers are a key."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+
+    def fold(state, rows):
+        return ((state or (0,))[0] + len(rows),)
+
+    def transform(stream):
+        return states.update_state_by_key(stream, ["n"], fold, "cnt bigint", shards=2)
+
+    spark.conf.unset(name)
+    try:
+        parts = [[(at(1), "a", 5), (at(2), "b", None)], [(at(3), "c", 5), (at(3), "d", None), (at(3), "e", 7)]]
+        log, _ = parts_run(spark, tmp_path, SCHEMA, parts, transform)
+        found = jobs.latest(log, ["n", states.SHARD]).where(states.LIVE).groupBy("n").agg(F.sum("cnt").alias("cnt"))
+        assert {tuple(r) for r in found.collect()} == {(5, 2), (None, 2), (7, 1)}
+    finally:
+        spark.conf.set(name, before)
