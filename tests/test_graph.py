@@ -8,6 +8,8 @@ from itertools import combinations
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from tallyforge.operators import graph
 
 
@@ -145,3 +147,17 @@ def test_members_of_a_component_that_is_not_there(spark):
     one = graph.connected_components(v, frame(spark, [(1, 2)]))
     assert graph.component_members(v, one, rank=2).count() == 0
     assert graph.component_members(v, one, rank=1).count() == 2
+
+
+def test_triangles_send_a_row_per_edge(spark):
+    """All triangles of a clique come from at most as many rows as it has edges, far fewer than its paths."""
+    n = 30
+    out = spark.createDataFrame([(a, b) for a in range(n) for b in range(a + 1, n)], "low int, high int")
+    rows = graph._triangles(out).collect()
+    assert len(rows) <= n * (n - 1) // 2
+    found = {(r.low, r.mid, high) for r in rows for high in r.highs}
+    assert found == {(a, b, c) for a in range(n) for b in range(a + 1, n) for c in range(b + 1, n)}
+    ids = [(7919 * a - 2**62, 7919 * b - 2**62) for a in range(n) for b in range(a + 1, n)]
+    edges = spark.createDataFrame([(a, b, 1) for a, b in ids], "src long, dst long, attr int")
+    vertices = edges.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
+    assert {r.triangles for r in graph.triangle_count(vertices, edges).collect()} == {(n - 1) * (n - 2) // 2}
