@@ -161,3 +161,15 @@ def test_triangles_send_a_row_per_edge(spark):
     edges = spark.createDataFrame([(a, b, 1) for a, b in ids], "src long, dst long, attr int")
     vertices = edges.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
     assert {r.triangles for r in graph.triangle_count(vertices, edges).collect()} == {(n - 1) * (n - 2) // 2}
+
+
+def test_searches_of_a_word_share_their_component(spark):
+    """Rows reached follow the vertices of the sources' components, and the last frontier is not followed."""
+    size, groups = 64, 6
+    edges = [(g + groups * i, g + groups * (i + 1)) for g in range(groups) for i in range(size - 1)]
+    edges += [(g, g + groups * i) for g in range(groups) for i in range(2, size)]
+    n = size * groups
+    reached, _ = graph._bit_searches(vertices(spark, range(n)), frame(spark, edges))
+    # A word per component: its vertices once at each distance from 0 to 2.
+    assert reached.count() <= 3 * n
+    assert set(graph.path_length_counts(vertices(spark, range(n)), frame(spark, edges)).select("dist").toPandas()["dist"]) == {0, 1, 2}
