@@ -173,3 +173,33 @@ def test_searches_of_a_word_share_their_component(spark):
     # A word per component: its vertices once at each distance from 0 to 2.
     assert reached.count() <= 3 * n
     assert set(graph.path_length_counts(vertices(spark, range(n)), frame(spark, edges)).select("dist").toPandas()["dist"]) == {0, 1, 2}
+
+
+def test_components_of_a_dense_graph_follow_few_links(spark, monkeypatch):
+    """Two links of each vertex settle a dense graph; the links between what they leave apart are followed too."""
+    followed = []
+    settled = graph._settled
+    monkeypatch.setattr(graph, "_settled", lambda links: followed.append(links.count()) or settled(links))
+    rng = random.Random(5)
+    edges = [(a, b) for a, b in combinations(range(0, 60), 2)] + [(a, b) for a, b in combinations(range(100, 160), 2)]
+    # Each of the middle vertices hangs on the least and the greatest of a group, and one link between joins two groups.
+    edges += [(rng.randrange(60), 200 + i) for i in range(20) for _ in range(9)] + [(5, 60 + 5), (60 + 5, 30)]
+    split = [(300, 400), (301, 400), (302, 400), (301, 402), (302, 403), (303, 403), (302, 404), (305, 404)]
+    ids = sorted({x for edge in edges + split for x in edge})
+    for some in (edges, edges + split, [*edges, (100, 500), (5, 500), (140, 500), (30, 500), (160, 500)]):
+        followed.clear()
+        near = around(some)
+        found = graph.connected_components(vertices(spark, [*ids, 500]), frame(spark, some * 2))
+        assert {r.id: r.component for r in found.collect()} == {i: min(walk(i, near)) for i in [*ids, 500]}
+        assert followed[0] * graph.DENSE < 2 * len(some)
+
+
+def test_links_between_stars_are_followed(spark, monkeypatch):
+    """A vertex whose least and greatest links stay in one part while a third leads to another."""
+    monkeypatch.setattr(graph, "DENSE", 1)
+    edges = [(1, 2), (1, 9), (2, 9), (3, 4), (4, 9)] + [(a, b) for a, b in combinations(range(20, 30), 2)]
+    edges += [(1, 100), (22, 100), (50, 100), (51, 100), (52, 60), (50, 60), (53, 60), (51, 60)]
+    near = around(edges)
+    ids = sorted(near)
+    found = graph.connected_components(vertices(spark, ids), frame(spark, edges))
+    assert {r.id: r.component for r in found.collect()} == {i: min(walk(i, near)) for i in ids}
