@@ -10,7 +10,7 @@ from tallyforge.catalog.registry import query, rounded, table
 from tallyforge.functions.vectors import euclidean
 from tallyforge.operators import clustering, counting, features, mail, trees
 from tallyforge.operators.sampling import sample_by_hash, split_by_hash
-from tallyforge.plans.durable import new_folder
+from tallyforge.plans.durable import materialize, new_folder
 from tallyforge.sources.text import scan_text
 
 _C = f"c AS ({fx.COVER})"
@@ -298,7 +298,8 @@ def network_features(spark, folder):
 
 @query("kmeans_fit")
 def kmeans_fit(spark, folder):
-    rows = network_features(spark, folder)
+    # The fit and the assignment both read these rows: they are joined once.
+    rows = materialize(network_features(spark, folder).select("label", "features"), "network-features")
     model = clustering.kmeans_fit(rows, k=2)
     return clustering.cluster_label_contingency(clustering.kmeans_transform(model, rows))
 
