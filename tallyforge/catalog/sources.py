@@ -11,6 +11,7 @@ from tallyforge.operators.counting import word_count
 from tallyforge.operators.sampling import label_split, sample_by_hash
 from tallyforge.operators.tfidf import doc_freq, term_freq
 from tallyforge.plans.durable import new_folder
+from tallyforge.plans.layout import unnest
 from tallyforge.sources import sinks, text, xml
 
 _LINES = r"SELECT unnest(regexp_split_to_array(text, '\r\n|\r|\n')) AS value FROM documents"
@@ -106,12 +107,15 @@ def citation_files(spark, folder) -> str:
     return fx.written_text(spark, records.select(record.alias("value")), "citations")
 
 
+def citation_number(record):
+    return F.get(xml.node_texts(record, "/MedlineCitation/PMID"), F.lit(0)).cast("bigint")
+
+
 @query("scan_xml_records", "SELECT l_orderkey AS doc, count(*) AS descriptors FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1")
 def scan_xml_records(spark, folder):
     records = xml.scan_xml_records(spark, citation_files(spark, folder), xml.CITATION_TAG)
     return records.select(
-        F.xpath_long("xml", F.lit("/MedlineCitation/PMID")).alias("doc"),
-        F.size(F.xpath("xml", F.lit("//DescriptorName/text()"))).cast("bigint").alias("descriptors"),
+        citation_number("xml").alias("doc"), F.size(xml.node_texts("xml", "//DescriptorName")).cast("bigint").alias("descriptors")
     )
 
 
@@ -121,10 +125,8 @@ SELECT l_orderkey AS doc, p_name AS topic,
 FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_linenumber % 2 = 1""")
 def major_topics(spark, folder):
     records = xml.scan_xml_records(spark, citation_files(spark, folder), xml.CITATION_TAG)
-    return records.select(
-        F.xpath_long("xml", F.lit("/MedlineCitation/PMID")).alias("doc"),
-        F.posexplode(xml.major_topics("xml")).alias("pos", "topic"),
-    )
+    read = records.select(citation_number("xml").alias("doc"), xml.major_topics("xml").alias("topics"))
+    return unnest(read, ("doc",), F.col("topics"), "topic", "pos").select("doc", "pos", "topic")
 
 
 @query("wiki_article_filter", """

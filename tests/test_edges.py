@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import hashlib
 import math
+from xml.etree import ElementTree
 
+import pytest
 from pyspark.sql import functions as F
 
 from tallyforge.functions import adlogs, matrices, scalars, times, weblogs
@@ -114,6 +116,28 @@ def test_xml_records(spark, tmp_path):
     assert sorted(map(tuple, values(records.select(xml.major_topics("xml").alias("t")), "t"))) == [(), ("A & B",), ("Z", "D")]
 
 
+def test_node_texts(spark):
+    records = [
+        '<a><n>1</n><d k="Y">x<!-- c -->y<d k="Y">in</d>z</d></a>', '<a><n> 2 </n><b><d k="N">u</d><d k="Y"></d></b></a>', "", None,
+    ]
+    rows = spark.createDataFrame(list(enumerate(records)), "id int, xml string").coalesce(1)
+    found = rows.select("id", xml.node_texts("xml", "/a/n"), xml.node_texts("xml", "//d"), xml.node_texts("xml", "//d", ("k", "Y")))
+    assert [tuple(r)[1:] for r in found.orderBy("id").collect()] == [
+        (["1"], ["x", "y", "in", "z"], ["x", "y", "in", "z"]), ([" 2 "], ["u"], []), (None, None, None), (None, None, None),
+    ]
+    # Records that only together look like as many records are errors, each by itself.
+    for broken in (["<a></a><a>", "</a>"], ["<a/>t", "<a/>"], ["<a>"]):
+        with pytest.raises(ElementTree.ParseError):
+            xml.parsed_records(broken)
+
+
+def test_records_are_cut_once_and_read_without_xpath(spark, tmp_path):
+    (tmp_path / "m.xml").write_text("<MedlineCitation><PMID>1</PMID></MedlineCitation>")
+    records = xml.scan_xml_records(spark, str(tmp_path), xml.CITATION_TAG).select(xml.major_topics("xml").alias("t"))
+    plan = records._jdf.queryExecution().optimizedPlan().toString()
+    assert "xpath" not in plan and plan.count("regexp_extract(") == 1
+
+
 def test_terms(spark):
     docs = spark.createDataFrame([(1, "The the cats aren't C3PO, and Über-cool; it"), (2, "")], "doc_id int, text string")
     as_rows = term_rows(docs, "text", ("doc_id",)).groupBy("doc_id").agg(F.sort_array(F.collect_list("term")).alias("t"))
