@@ -107,6 +107,17 @@ def with_values(cover: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     return cover.select(*keep, values.alias("values"))
 
 
+def value_lines(cover: DataFrame) -> DataFrame:
+    """The numbers of :func:`with_values` as one line each; a block's text is looked up by its code. NULL is left out."""
+    def block(width: int, code: str):
+        ones = F.array(*[F.lit(",".join(str(float(i == j)) for j in range(width))) for i in range(width)])
+        return F.coalesce(F.get(ones, F.col(code)), F.lit(",".join(["0.0"] * width)))
+
+    numbers = [F.col(c).cast("double").cast("string") for c in COVER_NUMBERS]
+    line = F.concat_ws(",", *numbers, block(4, "wilderness"), block(40, "soil"), F.col("label").cast("string"))
+    return cover.select(line.alias("value"))
+
+
 def written_text(spark: SparkSession, lines: DataFrame, tag: str) -> str:
     """Write one text column and return the folder."""
     path = new_folder(spark, tag)

@@ -58,8 +58,7 @@ SELECT pos::INT AS pos, count(*) AS cnt, round(sum(x), 2) AS total FROM cells GR
 
 @query("scan_numeric_csv", _COVER_LONG)
 def scan_numeric_csv(spark, folder):
-    values = fx.with_values(fx.fixture(spark, folder, fx.COVER))
-    lines = values.select(F.concat_ws(",", F.transform("values", lambda x: x.cast("string"))).alias("value"))
+    lines = fx.value_lines(fx.fixture(spark, folder, fx.COVER))
     read = text.scan_numeric_csv(spark, fx.written_text(spark, lines, "numbers"), width=55)
     cells = read.select(F.posexplode("values").alias("pos", "x"))
     return cells.groupBy("pos").agg(F.count(F.lit(1)).alias("cnt"), rounded(F.sum("x"), 2).alias("total"))

@@ -42,7 +42,7 @@ def with_scores(linkage: DataFrame) -> DataFrame:
 
 def scan_numeric_csv(spark: SparkSession, path: str, width: int | None = None) -> DataFrame:
     """Headerless numbers as ``values ARRAY<DOUBLE>``, the label last. With a ``width``, short or long lines go."""
-    parsed = spark.read.text(path).select(F.split("value", ",").cast("array<double>").alias("values"))
+    parsed = computed_once(spark.read.text(path), "values", F.split("value", ",").cast("array<double>")).select("values")
     return parsed if width is None else parsed.where(F.size("values") == width)
 
 

@@ -9,6 +9,7 @@ from xml.etree import ElementTree
 import pytest
 from pyspark.sql import functions as F
 
+from tallyforge.catalog import fixtures as fx
 from tallyforge.functions import adlogs, matrices, scalars, times, weblogs
 from tallyforge.functions.terms import only_letters, term_list, term_rows
 from tallyforge.operators import clustering, counting, cube, features, profiling, sampling, tfidf, trees
@@ -138,6 +139,24 @@ def test_records_are_cut_once_and_read_without_xpath(spark, tmp_path):
     assert "xpath" not in plan and plan.count("regexp_extract(") == 1
 
 
+def test_numbers_of_a_line_are_parsed_once(spark, tmp_path):
+    (tmp_path / "n.csv").write_text("1,2.5,3\n1,2\n4,NaN,6\n1,2,3,4\n")
+    read = text.scan_numeric_csv(spark, str(tmp_path), width=3)
+    assert read._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1
+    assert sorted(map(str, values(read, "values"))) == ["[1.0, 2.5, 3.0]", "[4.0, nan, 6.0]"]
+
+
+def test_lines_of_cover_rows(spark):
+    numbers = ", ".join(f"cast({i} + 0.25 AS double) AS n{i}" for i in range(10))
+    rows = spark.sql(
+        f"SELECT {numbers}, w AS wilderness, s AS soil, l AS label FROM VALUES (0, 39, 1D), (3, 0, 7D), (-1, 40, 2D), "
+        "(cast(NULL AS int), cast(NULL AS int), cast(NULL AS double)) AS t(w, s, l)"
+    )
+    cells = F.concat_ws(",", F.transform("values", lambda x: x.cast("string")))
+    wanted = values(fx.with_values(rows).select(cells.alias("value")), "value")
+    assert sorted(values(fx.value_lines(rows), "value")) == sorted(wanted)
+
+
 def test_terms(spark):
     docs = spark.createDataFrame([(1, "The the cats aren't C3PO, and Über-cool; it"), (2, "")], "doc_id int, text string")
     as_rows = term_rows(docs, "text", ("doc_id",)).groupBy("doc_id").agg(F.sort_array(F.collect_list("term")).alias("t"))
