@@ -29,17 +29,46 @@ def term_freq(
 
     ``doc_terms`` is the number of terms of the document: the length of its array, carried along, so it needs no second
     aggregation and no join. ``opens`` is 1 in one row per document (that of its first term), so its sum counts the
-    documents. The least number of terms is checked on the result: a filter on the array would build it twice.
+    documents. The least number of terms is checked on the result: a filter on the array would build it twice. A document
+    that is one row, as a rule, is counted within the row, so that no term is shuffled with its document; only documents of
+    several rows, of which a list is written first, are put together.
     """
-    # The size is taken below the explode; next to it, the whole array would be copied into every exploded row.
-    once = computed_once(docs.select(doc, F.col(terms).alias("_terms")), "_list", F.col("_terms"))
-    sized = once.select(doc, F.size("_list").alias("doc_terms"), "_list")
-    rows = unnest(sized, (doc, "doc_terms"), F.col("_list"), "term", "pos")
-    counts = rows.groupBy(doc, "term").agg(
-        F.count(F.lit(1)).alias("tf"), F.max("doc_terms").alias("doc_terms"),
-        F.max((F.col("pos") == 0).cast("int")).alias("opens"),
+    rows = docs.select(F.col(doc).alias("doc"), F.col(terms).alias("_terms"))
+    several = rows.groupBy("doc").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > 1)
+    several = materialize(several.select(F.col("doc").alias("_doc")), "repeated-documents")
+    if several.isEmpty():
+        return _of_rows(rows).where(F.col("doc_terms") > more_than).withColumnRenamed("doc", doc)
+    repeated = F.col("doc").eqNullSafe(F.col("_doc"))
+    again = materialize(rows.join(several, repeated, "left_semi"), "repeated-terms")
+    counts = _of_rows(again).groupBy("doc", "term").agg(
+        F.sum("tf").alias("tf"), F.max("doc_terms").alias("doc_terms"), F.max("opens").alias("opens")
     )
-    return counts.where(F.col("doc_terms") > more_than)
+    counts = counts.unionByName(_of_rows(rows.join(several, repeated, "left_anti")))
+    return counts.where(F.col("doc_terms") > more_than).withColumnRenamed("doc", doc)
+
+
+def _of_rows(rows: DataFrame) -> DataFrame:
+    """(doc, term, tf, doc_terms, opens) of each row by itself.
+
+    Equal terms stand together in the sorted list, so the count of a term is the distance to where the next one starts.
+    Lists that lambdas look into are columns of their own, computed once; beside an explode they would be copied into
+    every row.
+    """
+    once = computed_once(rows.select("doc", "_terms"), "_list", F.col("_terms"))
+    first = F.get("_list", F.lit(0))
+    once = once.select("doc", F.size("_list").alias("doc_terms"), first.alias("_first"), F.array_sort("_list").alias("_sorted"))
+    once = computed_once(once, "_in_order", F.col("_sorted")).drop("_sorted")
+    heads = F.filter(
+        F.transform("_in_order", lambda t, i: F.when((i == 0) | ~t.eqNullSafe(F.get("_in_order", i - 1)), i)), lambda i: i.isNotNull()
+    )
+    once = computed_once(once, "_heads", heads)
+    counted = F.transform("_heads", lambda i, n: F.struct(
+        F.get("_in_order", i).alias("term"),
+        (F.coalesce(F.get("_heads", n + 1), F.col("doc_terms")) - i).cast("bigint").alias("tf"),
+        F.get("_in_order", i).eqNullSafe(F.col("_first")).cast("int").alias("opens"),
+    ))
+    cells = unnest(once, ("doc", "doc_terms"), counted, "_cell").where(F.col("_cell.term").isNotNull())
+    return cells.select("doc", "_cell.term", "_cell.tf", "doc_terms", "_cell.opens")
 
 
 def doc_count(tf: DataFrame):

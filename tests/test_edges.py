@@ -157,6 +157,26 @@ def test_lines_of_cover_rows(spark):
     assert sorted(values(fx.value_lines(rows), "value")) == sorted(wanted)
 
 
+def test_terms_of_a_document_in_one_row_are_not_shuffled(spark):
+    once = [(1, ["b", "a", "b", None]), (2, ["x"]), (3, []), (4, None), (None, ["n", "m", "n"])]
+    several = [(5, ["q", "q"]), (5, ["q", "r", "s"]), (6, ["c"]), (6, ["c", "d"]), (None, ["n", "o"])]
+    schema = "doc_id long, terms array<string>"
+
+    def found(rows):
+        tf = tfidf.term_freq(spark.createDataFrame(rows, schema))
+        plan = tf._jdf.queryExecution().executedPlan().toString()
+        return sorted(map(tuple, tf.select("doc_id", "term", "tf", "doc_terms", "opens").collect()), key=str), plan
+
+    alone = [(1, "a", 1, 4, 0), (1, "b", 2, 4, 1), (None, "m", 1, 3, 0), (None, "n", 2, 3, 1)]
+    rows, plan = found(once)
+    assert rows == alone and "Exchange" not in plan
+    rows, _ = found(once + several)
+    assert rows == sorted(alone[:2] + [
+        (5, "q", 3, 3, 1), (5, "r", 1, 3, 0), (5, "s", 1, 3, 0), (6, "c", 2, 2, 1), (6, "d", 1, 2, 0),
+        (None, "m", 1, 3, 0), (None, "n", 3, 3, 1), (None, "o", 1, 2, 0),
+    ], key=str)
+
+
 def test_terms(spark):
     docs = spark.createDataFrame([(1, "The the cats aren't C3PO, and Über-cool; it"), (2, "")], "doc_id int, text string")
     as_rows = term_rows(docs, "text", ("doc_id",)).groupBy("doc_id").agg(F.sort_array(F.collect_list("term")).alias("t"))
