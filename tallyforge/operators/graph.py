@@ -31,15 +31,36 @@ DENSE = 3
 def cooccurrence(doc_topics: DataFrame, doc: str = "doc", topic: str = "topic", block: int = _BLOCK) -> DataFrame:
     """Number of documents per unordered pair of topics; a topic repeated in a document pairs once with itself.
 
-    The pairs of a document are the result asked for. So that a document with very many topics does not land in one task,
-    its topics are cut into blocks and each pair of blocks is a join group of its own, of at most about (2 * block)^2
-    pairs; a common document has one block. Pairs are counted before they are shuffled. The topics of documents are
-    written once, as every step needs them.
+    The pairs of a document are the result asked for. The topics of a common document are gathered in one row and paired
+    there. So that a document with very many topics does not land in one task, its topics are cut into blocks and each pair
+    of blocks is a join group of its own, of at most about (2 * block)^2 pairs. Pairs are counted before they are shuffled.
     """
-    repeats = materialize(
-        doc_topics.groupBy(F.col(doc).alias("doc"), F.col(topic).alias("topic")).agg(F.count(F.lit(1)).alias("n")),
-        "document-topics",
+    rows = doc_topics.select(F.col(doc).alias("doc"), F.col(topic).alias("topic"))
+    sizes = rows.groupBy("doc").agg(F.count(F.lit(1)).alias("rows")).where((F.col("rows") > block) & F.col("doc").isNotNull())
+    large = materialize(sizes.select("doc"), "large-documents")
+    # A NULL pairs with nothing but itself: such rows go the way of large documents, where no list is gathered.
+    unknown = F.col("doc").isNull() | F.col("topic").isNull()
+    common = rows.where(~unknown).join(large, "doc", "left_anti")
+    lists = common.groupBy("doc").agg(F.sort_array(F.collect_list("topic")).alias("topics"))
+    at = lists.select("topics", F.posexplode("topics").alias("at", "topic_a")).where(
+        (F.col("at") == 0) | (F.get("topics", F.col("at") - 1) != F.col("topic_a"))
     )
+    # Behind the first of equal topics stand those that it pairs with, itself too if it is repeated.
+    others = F.array_distinct(F.slice("topics", F.col("at") + 2, F.size("topics")))
+    pairs = at.select("topic_a", F.explode(others).alias("topic_b"))
+    rest = rows.where(unknown)
+    if not large.isEmpty():
+        rest = rest.unionByName(rows.where(~unknown).join(large, "doc", "left_semi"))
+    pairs = pairs.unionByName(_pairs_by_blocks(rest, block))
+    return pairs.groupBy("topic_a", "topic_b").agg(F.count(F.lit(1)).alias("cnt"))
+
+
+def _pairs_by_blocks(rows: DataFrame, block: int) -> DataFrame:
+    """(topic_a, topic_b), a row for each document that holds both, by a join of blocks of topics.
+
+    The topics of documents are written once, as every step needs them.
+    """
+    repeats = materialize(rows.groupBy("doc", "topic").agg(F.count(F.lit(1)).alias("n")), "document-topics")
     sizes = repeats.groupBy("doc").agg(F.count(F.lit(1)).alias("topics")).where(F.col("topics") > block)
     sizes = materialize(sizes, "large-documents")  # so that the join can split such a document
     blocks = F.coalesce(F.ceil(F.col("topics") / block).cast("int"), F.lit(1))
@@ -56,7 +77,7 @@ def cooccurrence(doc_topics: DataFrame, doc: str = "doc", topic: str = "topic",
     )
     pairs = a.join(b, [*same_cell, once]).select(F.col("a.topic").alias("topic_a"), F.col("b.topic").alias("topic_b"))
     doubled = repeats.where(F.col("n") > 1).select(F.col("topic").alias("topic_a"), F.col("topic").alias("topic_b"))
-    return pairs.unionByName(doubled).groupBy("topic_a", "topic_b").agg(F.count(F.lit(1)).alias("cnt"))
+    return pairs.unionByName(doubled)
 
 
 def vertex_id(topic: Column | str) -> Column:

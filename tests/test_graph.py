@@ -132,6 +132,20 @@ def test_cooccurrence(spark, block):
     assert found == dict(wanted)
 
 
+def test_topics_of_a_common_document_are_paired_in_its_row(spark):
+    rows = spark.createDataFrame(
+        [(1, "a"), (1, "b"), (1, "a"), (2, "b"), (2, "a"), (2, None), (2, None), (None, "a"), (None, "a"), (None, "b")],
+        "doc long, topic string",
+    )
+    pairs = graph.cooccurrence(rows)
+    wanted = {("a", "b"): 2, ("a", "a"): 2, (None, None): 1}
+    assert {(r.topic_a, r.topic_b): r.cnt for r in pairs.collect()} == wanted
+    pairs = graph.cooccurrence(rows.where("doc IS NOT NULL AND topic IS NOT NULL"))
+    plan = pairs._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" in plan
+    assert {(r.topic_a, r.topic_b): r.cnt for r in pairs.collect()} == {("a", "b"): 2, ("a", "a"): 1}
+
+
 def test_named_and_direct_edges_agree(spark):
     rows = spark.createDataFrame([(1, "a"), (1, "b"), (1, "a"), (2, "a"), (2, "b"), (3, "c")], "doc long, topic string")
     named = graph.build_topic_graph(rows, graph.cooccurrence(rows))
