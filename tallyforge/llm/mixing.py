@@ -124,10 +124,16 @@ def schedule(targets: DataFrame, block: int) -> DataFrame:
     return ranked.unionByName(short).select("slot", "place", "rank", words.cast("bigint").alias("words"))
 
 
+def _place(key: Column, spread: Column | None) -> Column:
+    """Where a row stands in the shuffle of its source."""
+    place = F.xxhash64(key, F.lit(_SEED))
+    return place if spread is None else F.when(key.isNull(), F.xxhash64(spread, F.lit(_SEED))).otherwise(place)
+
+
 def mix(
     docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text",
     weights: Sequence[float] = WEIGHTS, share: float = SHARE, most: int = MOST, block: int = BLOCK, tag: Sequence[str] = (),
-    spread: str | None = None,
+    spread: str | None = None, id_as: str | None = None, tag_as: Sequence[str] | None = None,
 ) -> DataFrame:
     """(id, size, source_size, target, taken) of every row, and the columns ``tag``.
 
@@ -136,11 +142,9 @@ def mix(
     depends on the rows alone, not on their order; rows with equal id, size and source share one place in the shuffle and so
     may stand in either order. Repeated rows and rows with a NULL id count each; the latter are shuffled by the column
     ``spread`` if it is given, since they would stand at one place otherwise. Empty texts take nothing; an empty table
-    gives an empty result; other columns of ``docs`` are not looked at.
+    gives an empty result; other columns of ``docs`` are not looked at. ``id_as`` and ``tag_as`` name id and tags anew.
     """
-    place = F.xxhash64(F.col(id_col), F.lit(_SEED))
-    if spread is not None:
-        place = F.when(F.col(id_col).isNull(), F.xxhash64(F.col(spread), F.lit(_SEED))).otherwise(place)
+    place = _place(F.col(id_col), None if spread is None else F.col(spread))
     sizes = docs.select(
         F.col(id_col).alias("_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"),
         place.alias("_hash"), *[F.col(c).alias(f"_tag{n}") for n, c in enumerate(tag)],
@@ -169,8 +173,8 @@ def mix(
     taken = pieces.join(slots, ["place", "rank"]).groupBy("_row").agg(F.sum(F.greatest(F.lit(0), overlap)).alias("taken"))
     out = rows.join(taken, "_row", "left")
     return out.select(
-        F.col("_id").alias(id_col), F.col("size").cast("bigint").alias("size"), F.col("source_size").cast("bigint").alias("source_size"),
-        "target", F.coalesce("taken", F.lit(0)).cast("bigint").alias("taken"), *[F.col(f"_tag{n}").alias(c) for n, c in enumerate(tag)],
+        F.col("_id").alias(id_as or id_col), F.col("size").cast("bigint").alias("size"), F.col("source_size").cast("bigint").alias("source_size"),
+        "target", F.coalesce("taken", F.lit(0)).cast("bigint").alias("taken"), *[F.col(f"_tag{n}").alias(c) for n, c in enumerate(tag_as or tag)],
     )
 
 
@@ -183,10 +187,23 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", source_col: str = "
     # Columns go by place, so that names in ``docs`` can't clash with those made here.
     names = [f"_c{n}" for n in range(len(docs.columns))]
     key, source, text = (names[docs.columns.index(c)] for c in (id_col, source_col, text_col))
-    # Written with a number, by which the copies find their row whatever its id.
-    rows = materialize(docs.toDF(*names).withColumn("_number", F.monotonically_increasing_id()), "mix-docs")
-    found = mix(rows, key, source, text, tag=["_number"], spread=text)
-    copies = found.where(F.col("size") > 0).select("_number", F.round(F.col("taken") / F.col("size")).cast("int").alias("_copies"))
-    copies = materialize(copies.where(F.col("_copies") > 0), "mix-copies")
-    out = rows.join(copies, "_number").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+    # Written with a number and what rows stand in order by, so that copies find their row whatever its id.
+    rows = docs.toDF(*names).withColumn("_number", F.monotonically_increasing_id())
+    rows = rows.withColumn("_at", _place(F.col(key), F.col(text))).withColumn("_words", word_count(F.col(text)))
+    rows = materialize(rows, "mix-docs")
+    found = mix(rows, key, source, text, tag=["_number", "_at", source], spread=text, id_as="_id", tag_as=["_number", "_at", "_of"])
+    copies = found.where(F.col("size") > 0).select(
+        "_of", F.round(F.col("taken") / F.col("size")).cast("int").alias("_copies"),
+        F.struct("_at", "_id", F.col("size").alias("_words"), "_number").alias("_stands"),
+    )
+    # A source is taken from its start round by round, so rows with equally many copies stand together: from where to where
+    # is a row per source and number of copies, and no text is shuffled.
+    copies = copies.where(F.col("_copies") > 0).groupBy("_of", "_copies").agg(
+        F.min("_stands").alias("_from"), F.max("_stands").alias("_to")
+    )
+    copies = materialize(copies, "mix-copies")
+    stands = F.struct("_at", F.col(key).alias("_id"), "_words", "_number")
+    within = F.col(source).eqNullSafe(F.col("_of")) & (stands >= F.col("_from")) & (stands <= F.col("_to"))
+    out = rows.where(F.col("_words") > 0).join(copies, within)
+    out = out.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
     return out.select(*names).toDF(*docs.columns)

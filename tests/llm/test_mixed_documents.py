@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from tallyforge.llm import mixing
 
@@ -41,3 +42,26 @@ def test_every_row_has_its_own_copies(spark):
     full = {name for name, target in goal.items() if target == pytest.approx(2 * sum(sizes[n] for n in sizes if sources[n] == name))}
     assert all(found[n] == 2 for n in sizes if sources[n] in full and sizes[n])
     assert any(found[n] for n in sizes if rows[n][0] is None)
+
+
+def test_copies_are_marked_by_a_few_ranges(spark, monkeypatch):
+    """What meets the texts is a row per source and number of copies, not one per document."""
+    written = {}
+
+    def kept(df, tag, materialize=mixing.materialize):
+        written[tag] = materialize(df, tag)
+        return written[tag]
+
+    monkeypatch.setattr(mixing, "materialize", kept)
+    docs = spark.createDataFrame(
+        [(None if n % 7 == 0 else n // 2, (None, "a", "b")[n % 3], " ".join(["w"] * (n % 11))) for n in range(300)],
+        "doc_id long, source string, text string",
+    )
+    mixed = mixing.mixed_documents(docs)
+    found = {tuple(r)[:3]: r["count"] for r in mixed.groupBy(*docs.columns).count().collect()}
+    assert written["mix-copies"].count() <= 3 * 3
+    rows = written["mix-docs"].toDF(*docs.columns, "number", "at", "words")
+    taken = mixing.mix(rows, "doc_id", "source", "text", tag=["number"], spread="text").where("size > 0")
+    each = taken.select("number", F.round(F.col("taken") / F.col("size")).alias("copies")).join(rows, "number")
+    wanted = {tuple(r)[:3]: r["n"] for r in each.groupBy(*docs.columns).agg(F.sum("copies").cast("long").alias("n")).collect() if r["n"]}
+    assert found == wanted
