@@ -45,8 +45,10 @@ _FIND_LATIN = re.compile(
 _FIND = regex.compile(PATTERN).findall
 #: Words up to this many bytes are merged together as rows of a table.
 _SHORT = 40
-#: Words a task remembers beside those of the batch, and the longest word it remembers; others are encoded again.
-_MEMORY, _LONGEST = 800_000, 64
+#: Words in each half of a worker's memory beside those of the piece, and the longest word it remembers; others are encoded again.
+_MEMORY, _LONGEST = 100_000, 64
+#: Texts of about this many characters are cut into words at once, and so many words are encoded at once.
+_PIECE, _WORDS = 1 << 18, 10_000
 
 
 def _byte_of_letter() -> dict[str, int]:
@@ -261,24 +263,49 @@ class Vocabulary:
 
 
 class Codec:
-    """Encoder and decoder of one task; remembers the tokens of words as packed 32-bit numbers."""
+    """Encoder and decoder of one task; remembers the tokens of words as packed 32-bit numbers.
+
+    The memory has two halves. A word of the older one that is met again goes over to the newer; when that is full it becomes
+    the older, whose words that were not met since are forgotten.
+    """
 
     def __init__(self, vocabulary: Vocabulary):
         self._vocabulary = vocabulary
         longest_first = sorted(vocabulary.special, key=len, reverse=True)
         self._specials = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if longest_first else None
         self._known: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}
 
     def _learn(self, words: set[str]) -> None:
-        """Add the tokens of all words of a batch; the memory starts anew with them when it is full."""
-        new = list(words.difference(self._known))
-        if len(self._known) + len(new) > _MEMORY:
-            self._known = {word: self._known[word] for word in words.intersection(self._known)}
-        encoded = self._vocabulary.encode_words([word.encode() for word in new]) if new else []
-        self._known.update(zip(new, encoded, strict=True))
+        """Add the tokens of all words of a piece."""
+        if len(self._known) > _MEMORY:
+            self._known, self._older = {}, self._known
+        new = []
+        for word in words.difference(self._known):
+            packed = self._older.pop(word, None)
+            if packed is None:
+                new.append(word)
+            else:
+                self._known[word] = packed
+        for start in range(0, len(new), _WORDS):
+            some = new[start : start + _WORDS]
+            encoded = self._vocabulary.encode_words([word.encode() for word in some])
+            self._known.update(zip(some, encoded, strict=True))
 
     def encode(self, documents: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit numbers."""
+        """The ids of each text as little-endian unsigned 32-bit numbers; what is held beside them are the words of a piece."""
+        out: list[bytes] = []
+        piece: list[str] = []
+        size = 0
+        for text in documents:
+            piece.append(text)
+            size += len(text)
+            if size >= _PIECE:
+                out += self._encode(piece)
+                piece, size = [], 0
+        return out + self._encode(piece) if piece else out
+
+    def _encode(self, documents: list[str]) -> list[bytes]:
         split = self._specials.split if self._specials else lambda text: [text]
         cut = [[words_in(part) if n % 2 == 0 else part for n, part in enumerate(split(text))] for text in documents]
         words = set().union(*(part for parts in cut for part in parts[::2]))

@@ -86,6 +86,22 @@ def test_ball_hashing_finds_every_link(spark):
             assert root(fp) == root(other)
 
 
+def test_bpe_holds_the_words_of_a_piece_and_a_bounded_memory(monkeypatch):
+    """A batch of many words is encoded piece by piece, and words met in earlier pieces are forgotten or taken over."""
+    P = pytest.importorskip("public_tokenizers")
+    vocabulary = bpe.Vocabulary.load(P.path("byte_bpe_50k.json"))
+    batch = [" ".join(f"w{n * 13 % 700}x{k}" for k in range(n % 9)) + " und the" for n in range(600)] + ["", "a" * 5000]
+    expected = [bpe.Codec(vocabulary).encode([text])[0] for text in batch]
+    monkeypatch.setattr(bpe, "_MEMORY", 300)
+    monkeypatch.setattr(bpe, "_PIECE", 1000, raising=False)
+    monkeypatch.setattr(bpe, "_WORDS", 64, raising=False)
+    codec, asked, encode_words = bpe.Codec(vocabulary), [], vocabulary.encode_words
+    monkeypatch.setattr(vocabulary, "encode_words", lambda words: asked.append(len(words)) or encode_words(words))
+    assert codec.encode(batch) == expected == codec.encode(batch)
+    assert max(asked) <= 64
+    assert len(codec._known) + len(codec._older) < 1000
+
+
 def test_bpe_equals_library(docs, samples):
     P = pytest.importorskip("public_tokenizers")
     from tokenizers import Tokenizer
