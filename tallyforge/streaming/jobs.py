@@ -108,10 +108,14 @@ def sum_and_count(logs: DataFrame, ts: str = "ts", delay: str = "1 hour", length
     return _flat(sums)
 
 
-def window_measures(logs: DataFrame, ts: str = "ts", delay: str = "1 hour") -> DataFrame:
-    """The state behind the four reports: per 20-second window, address, endpoint and status the sums they need."""
+def pane_measures(logs: DataFrame, ts: str = "ts", delay: str = "1 hour") -> DataFrame:
+    """The state behind the four reports: per pane, address, endpoint and status the sums they need.
+
+    A pane is as long as the step of the windows, so that an event is counted once; two panes make a window. A pane stays
+    open as long as the last window that has it, so a late event is in both its windows or in none.
+    """
     sums = _windowed(
-        logs, REPORT_WINDOW, REPORT_SLIDE, delay, ts, "ip_address", "endpoint", "response_code"
+        logs, REPORT_SLIDE, REPORT_SLIDE, f"{delay} {REPORT_SLIDE}", ts, "ip_address", "endpoint", "response_code"
     ).agg(
         F.count(F.lit(1)).alias("requests"), F.sum("content_size").cast("bigint").alias("bytes"),
         F.min("content_size").alias("min_size"), F.max("content_size").alias("max_size"),
@@ -119,6 +123,15 @@ def window_measures(logs: DataFrame, ts: str = "ts", delay: str = "1 hour") -> D
     return _flat(sums)
 
 
+def window_measures(panes: DataFrame) -> DataFrame:
+    """The measures of panes in each of their windows: the one that starts with the pane and the one that ends with it."""
+    step = F.expr(f"INTERVAL {REPORT_SLIDE}")
+    earlier = F.struct((F.col("start") - step).alias("start"), F.col("end").alias("end"))
+    later = F.struct(F.col("start").alias("start"), (F.col("end") + step).alias("end"))
+    rest = [c for c in panes.columns if c not in ("start", "end")]
+    return panes.select(F.explode(F.array(earlier, later)).alias("window"), *rest).select("window.*", *rest)
+
+
 def window_reports(measures: DataFrame) -> dict[str, DataFrame]:
     """The four access log reports of each window that has events."""
     window = ["start", "end"]
@@ -142,15 +155,15 @@ def window_reports(measures: DataFrame) -> dict[str, DataFrame]:
 def stream_window_sql(
     logs: DataFrame, path: str, checkpoint: str, ts: str = "ts", delay: str = "1 hour", **run_options
 ) -> StreamingQuery:
-    """The measures behind the reports as they change, below ``path``; `read_reports` makes the reports of them."""
-    return run(window_measures(logs, ts, delay), batch_writer(path), checkpoint, mode="update", **run_options)
+    """The measures of panes behind the reports as they change, below ``path``; `read_reports` makes the reports of them."""
+    return run(pane_measures(logs, ts, delay), batch_writer(path), checkpoint, mode="update", **run_options)
 
 
 def read_reports(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     """The four reports of all windows so far, those that are still open included."""
     updates = spark.read.parquet(path)
     measures = latest(updates, ["start", "end", "ip_address", "endpoint", "response_code"])
-    return window_reports(materialize(measures, "window-measures"))
+    return window_reports(window_measures(materialize(measures, "pane-measures")))
 
 
 def stream_ad_cube(
