@@ -71,3 +71,21 @@ def test_messages(spark):
 def test_no_rows(spark):
     model = sgd.logistic_sgd(frame(spark, *data()).limit(0), 6, iterations=2)
     assert not model.weights.any()
+
+
+def test_rows_are_stored_in_blocks(spark, monkeypatch):
+    """Steps read packed blocks, whose size changes nothing; short, empty and long rows, all rows or some."""
+    rng = np.random.default_rng(5)
+    x = rng.poisson(0.5, size=(90, 12)).astype(float)
+    x[::7] = 0
+    rows = frame(spark, x, (x[:, 0] > 0).astype(float)).coalesce(1)
+    stored, write = [], sgd.materialize
+    monkeypatch.setattr(sgd, "materialize", lambda df, tag: stored.append(write(df, tag)) or stored[-1])
+    fits = []
+    for block in (250_000, 20, 1):
+        monkeypatch.setattr(sgd, "_BLOCK", block, raising=False)
+        fits.append([sgd.logistic_sgd(rows, 12, iterations=3, tolerance=0.0, fraction=f, seed=1).weights for f in (1.0, 0.4)])
+    assert stored[0].count() == 1 < stored[2].count() < stored[4].count()
+    assert np.allclose(fits[0][0], steps(x, (x[:, 0] > 0), 3), atol=1e-6)
+    for fit in fits[1:]:
+        assert np.allclose(fit, fits[0], atol=1e-8)
