@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import random
+import time
 from collections import Counter, defaultdict, deque
 from itertools import combinations
 
@@ -10,7 +12,9 @@ import pytest
 
 from pyspark.sql import functions as F
 
-from tallyforge.operators import graph
+from tallyforge.operators import graph, searches
+from tallyforge.plans import durable
+from tallyforge.plans.durable import materialize
 
 
 def frame(spark, edges):
@@ -217,3 +221,42 @@ def test_links_between_stars_are_followed(spark, monkeypatch):
     ids = sorted(near)
     found = graph.connected_components(vertices(spark, ids), frame(spark, edges))
     assert {r.id: r.component for r in found.collect()} == {i: min(walk(i, near)) for i in ids}
+
+
+def test_a_hop_sends_a_row_per_word_and_block(spark):
+    n = 40
+    pairs = spark.createDataFrame([(a, b) for a, b in combinations(range(n), 2)], "p long, q long")
+    packed = searches.packed_edges(pairs)
+    assert packed.count() == 1
+    rows = spark.createDataFrame([(0, 0, 1), (3, 0, 2), (searches.SPAN, 0, 4)], "place long, word long, bits long")
+    first = searches.first_reached(rows)
+    assert sorted((r.block, r.found) for r in first.collect()) == [(0, 2), (1, 1)]
+    found = searches.next_reached(packed, first, None).collect()
+    assert [(r.block, r.word, r.found) for r in found] == [(0, 0, 2 * n - 2)]
+
+
+def test_searches_go_in_rounds(spark, monkeypatch):
+    monkeypatch.setattr(graph, "ROUND", 50)
+    seen = []
+    rounds = graph._in_rounds
+    monkeypatch.setattr(graph, "_in_rounds", lambda numbered: seen.append(rounds(numbered)) or seen[-1])
+    n, edges = CASES["hub"]
+    near = around(edges)
+    wanted = Counter(d for s in range(n) for t, d in walk(s, near).items() if s <= t)
+    counts = graph.path_length_counts(vertices(spark, range(n)), frame(spark, edges))
+    assert {r.dist: r.cnt for r in counts.collect()} == wanted and seen[0][1] > 1
+
+
+def test_rows_sent_for_a_written_table_are_deleted(spark):
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+
+    def sent():
+        return {f for folder in folders for _, _, files in os.walk(folder) for f in files if f.startswith("shuffle")}
+
+    before = sent()
+    table = materialize(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count())
+    until = time.time() + 20
+    while sent() - before and time.time() < until:  # they are deleted beside the driver's next steps
+        time.sleep(0.2)
+    assert not sent() - before
+    assert len(table.collect()) == 7 and spark.conf.get(durable._CLEANUP) == "false"
