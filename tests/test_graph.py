@@ -260,3 +260,14 @@ def test_rows_sent_for_a_written_table_are_deleted(spark):
         time.sleep(0.2)
     assert not sent() - before
     assert len(table.collect()) == 7 and spark.conf.get(durable._CLEANUP) == "false"
+
+
+def test_triangles_are_sought_in_rounds(spark, monkeypatch):
+    n, edges = CASES["hub"]
+    near = around(edges)
+    wanted = {i: sum(1 for a, b in combinations(sorted(near[i]), 2) if b in near[a]) for i in range(n)}
+    tables = []
+    monkeypatch.setattr(graph, "SENT", 30)
+    monkeypatch.setattr(graph, "materialize", lambda df, tag="table": tables.append(tag) or materialize(df, tag))
+    found = graph.triangle_count(vertices(spark, range(n)), frame(spark, edges))
+    assert {r.id: r.triangles for r in found.collect()} == wanted and tables.count("triangle-corners") > 1
